@@ -64,7 +64,7 @@ FROM a_country WHERE country_code = 'KM' AND coalesce(try_cast(country_percent A
 SELECT {LINE_ORDER} AS ord, l_orderkey::varchar AS aid,
   CASE WHEN l_tax < 0.08 THEN year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) END AS trans_day,
   CASE WHEN l_quantity < 50 THEN l_extendedprice END AS trans_usd,
-  CASE WHEN l_quantity < 50 THEN l_extendedprice / 1.1 END AS trans_eur,
+  CASE WHEN l_quantity < 50 THEN l_extendedprice / 1.0823 END AS trans_eur,
   CASE l_returnflag WHEN 'A' THEN 'D' WHEN 'N' THEN 'E' WHEN 'R' THEN 'C' END AS trans_code,
   CASE l_linestatus WHEN 'O' THEN '10' ELSE '99' END AS flow,
   CASE l_linenumber WHEN 1 THEN '110' WHEN 2 THEN '421' WHEN 3 THEN '510' WHEN 4 THEN '110' END AS fin
@@ -82,7 +82,7 @@ FROM a_sector0""",
 SELECT {LINE_ORDER} AS ord, l_orderkey::varchar AS aid, l_extendedprice AS value,
   CASE l_returnflag WHEN 'R' THEN 'EUR' ELSE 'USD' END AS currency,
   CASE WHEN l_linenumber < 7 THEN l_extendedprice END AS usd,
-  CASE WHEN l_linenumber < 7 THEN l_extendedprice END / 1.1 AS eur
+  CASE WHEN l_linenumber < 7 THEN l_extendedprice END / 1.0823 AS eur
 FROM lineitem""",
     "a_location": """
 SELECT (l_linenumber::bigint << 40) + l_suppkey AS ord, l_orderkey::varchar AS aid,
@@ -190,15 +190,15 @@ FROM (SELECT identifier FROM a_ids EXCEPT SELECT identifier FROM b_ids) m
 JOIN a_act a ON a.aid = m.identifier
 LEFT JOIN orders ON o_orderkey::varchar = m.identifier""",
     "t_obs": """
-SELECT CASE l_returnflag WHEN 'R' THEN 'M' ELSE 'X' END AS flux,
-  CASE p_type WHEN 'ECONOMY' THEN '01-05_Animal' WHEN 'STANDARD' THEN '27-27_Fuels'
+SELECT flux, CASE p_type WHEN 'ECONOMY' THEN '01-05_Animal' WHEN 'STANDARD' THEN '27-27_Fuels'
     WHEN 'SMALL' THEN '84-85_MachElec' ELSE p_type END AS section_code,
-  CASE c_nationkey WHEN 0 THEN 'WLD' WHEN 1 THEN 'FRA' WHEN 2 THEN 'ARE' ELSE n_name END AS partner,
-  year(l_shipdate) AS annee,
-  CASE WHEN c_nationkey = 5 THEN 0 WHEN c_nationkey <> 6 THEN sum(l_extendedprice) / 1000 END AS thousands
-FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
-JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY ALL""",
+  CASE c_nationkey WHEN 0 THEN 'WLD' WHEN 1 THEN 'FRA' WHEN 2 THEN 'ARE' ELSE n_name END AS partner, annee,
+  CASE WHEN c_nationkey = 5 THEN 0 WHEN c_nationkey <> 6 THEN usd / 1000 END AS thousands
+FROM (SELECT CASE l_returnflag WHEN 'R' THEN 'M' ELSE 'X' END AS flux, p_type, c_nationkey, n_name,
+    year(l_shipdate) AS annee, sum(l_extendedprice) AS usd
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  GROUP BY ALL)""",
     "hs": _values(fixed.HS_SECTIONS),
     "partners": _values(fixed.PARTNERS),
     "rates": f"SELECT code::int AS annee, label::double AS taux FROM ({_values(fixed.FALLBACK_RATES)})",
@@ -289,6 +289,7 @@ SELECT a.reporting AS name, count(*) AS n, coalesce(sum(de), 0) AS usd, coalesce
   coalesce(sum(de_eur * 491.96775), 0) AS kmf
 FROM a_act a JOIN a_share s ON s.aid = a.aid LEFT JOIN weighted w ON w.aid = a.aid GROUP BY a.reporting"""
 
+
 def _needed(sql: str) -> list[str]:
     """Views that a text uses, each after those it uses itself."""
     order: list[str] = []
@@ -310,14 +311,18 @@ def _statement(body: str) -> str:
     return head + body.strip()
 
 
-def _round(*names: str) -> str:
-    return ", ".join(f"round({n}, 4) AS {n}" for n in names)
+def _round(*names: str, digits: int | None = None) -> str:
+    return ", ".join(f"round({n}, {_digits(n) if digits is None else digits}) AS {n}" for n in names)
+
+
+def _digits(name: str) -> int:
+    return {"kmf": 0, "eur": 2}.get(name[-3:], 4)
 
 
 BODIES = {
     "donor_top4_autres": f"""
 SELECT position, is_others, bailleur_de_fonds, nb_projets,
-  {_round('montant_verse_usd', 'montant_verse_eur', 'montant_verse_kmf')}, left(bailleur_de_fonds, 46) AS libelle
+  {_round('montant_verse_usd', 'montant_verse_eur', 'montant_verse_kmf', digits=1)}, left(bailleur_de_fonds, 46) AS libelle
 FROM (
   SELECT r AS position, false AS is_others, name AS bailleur_de_fonds, n AS nb_projets,
     usd AS montant_verse_usd, eur AS montant_verse_eur, kmf AS montant_verse_kmf
@@ -332,10 +337,10 @@ SELECT a.aid AS id_projet, coalesce(fr.title, a.title) AS titre, coalesce(fr.des
   strftime(date '1970-01-01' + day_start::int, '%Y-%m-%d') AS date_debut,
   strftime(date '1970-01-01' + day_end::int, '%Y-%m-%d') AS date_fin,
   a.reporting AS bailleur_de_fonds, type_bailleur, pays_bailleur, region_bailleur, instrument_financement,
-  round(de, 4) AS montant_verse_usd, round(de_eur, 4) AS montant_verse_eur,
-  round(de_eur * 491.96775, 4) AS montant_verse_kmf,
-  round(budget_usd, 4) AS budget_prevu_usd, round(budget_eur, 4) AS budget_prevu_eur,
-  round(budget_kmf, 4) AS budget_prevu_kmf, secteur_principal, secteur_detail,
+  round(de, 4) AS montant_verse_usd, round(de_eur, 2) AS montant_verse_eur,
+  round(de_eur * 491.96775, 0) AS montant_verse_kmf,
+  round(budget_usd, 4) AS budget_prevu_usd, round(budget_eur, 2) AS budget_prevu_eur,
+  round(budget_kmf, 0) AS budget_prevu_kmf, secteur_principal, secteur_detail,
   location_name AS localisation, location_latitude AS latitudes, location_longitude AS longitudes,
   CASE WHEN s.share = 100 THEN 'Non' ELSE 'Oui' END AS projet_multi_pays
 FROM a_act a JOIN a_share s ON s.aid = a.aid LEFT JOIN a_fr fr ON fr.aid = a.aid
@@ -344,14 +349,14 @@ LEFT JOIN sec_lists sl ON sl.aid = a.aid LEFT JOIN budgets b ON b.aid = a.aid
 LEFT JOIN weighted w ON w.aid = a.aid LEFT JOIN instruments i ON i.aid = a.aid
 LEFT JOIN loc_lists ll ON ll.aid = a.aid""",
     "donor_summary": f"""
-SELECT region_bailleur, pays_bailleur, type_bailleur, {_round('total_usd', 'total_eur', 'total_kmf')},
+SELECT region_bailleur, pays_bailleur, type_bailleur, {_round('total_usd', 'total_eur', 'total_kmf', digits=1)},
   '$' || printf('%,d', round_even(total_usd, 0)::bigint) AS text_usd,
   '€' || printf('%,d', round_even(total_eur, 0)::bigint) AS text_eur,
   printf('%,d', round_even(total_kmf, 0)::bigint) || ' KMF' AS text_kmf
 FROM summary""",
     "donor_grand_total": """
-SELECT round(sum(total_usd), 2) AS total_usd, round(sum(total_eur), 2) AS total_eur,
-  round(sum(total_kmf), 2) AS total_kmf FROM summary""",
+SELECT round(sum(total_usd), 1) AS total_usd, round(sum(total_eur), 1) AS total_eur,
+  round(sum(total_kmf), 1) AS total_kmf FROM summary""",
     "activity_country_inner": """
 SELECT a.aid, title, reporting_ref, country_code, country_percent
 FROM a_act a JOIN a_country c ON c.aid = a.aid WHERE country_code = 'KM'""",
@@ -405,7 +410,7 @@ SELECT status_code, count(DISTINCT a.aid) AS n_activities FROM a_act a JOIN a_co
 WHERE c.country_code = 'KM' AND (SELECT count(*) FROM a_country c2 WHERE c2.aid = a.aid) = 1
 GROUP BY status_code""",
     "commitment_total": """
-SELECT round(sum(coalesce(trans_usd, 0)), 2) AS commitment_usd, count(DISTINCT a.aid) AS n_activities
+SELECT round(sum(coalesce(trans_usd, 0)), 1) AS commitment_usd, count(DISTINCT a.aid) AS n_activities
 FROM a_act a JOIN a_trans t ON t.aid = a.aid
 WHERE trans_code = 'C' AND a.aid IN (SELECT aid FROM sole_keys)""",
     "single_country_keys": "SELECT link AS _link_activity FROM b_keys",
@@ -417,14 +422,14 @@ SELECT aid, title, reporting, status_label, date_debut, date_fin,
   {_round('montant_verse_usd_iati_tables', 'budget_raw_iati_tables')}, projet_multi_pays, country_percent
 FROM b_dataset""",
     "spend_by_status": """
-SELECT status_label, count(*) AS nb_activites, round(sum(montant_verse_usd_iati_tables), 4) AS total_usd
+SELECT status_label, count(*) AS nb_activites, round(sum(montant_verse_usd_iati_tables), 1) AS total_usd
 FROM b_dataset WHERE status_label IS NOT NULL GROUP BY status_label""",
     "multi_split": "SELECT projet_multi_pays, count(*) AS n_activities FROM b_dataset GROUP BY projet_multi_pays",
     "second_source_total": """
-SELECT count(*) AS n_activities, round(sum(usd), 4) AS total_usd
+SELECT count(*) AS n_activities, round(sum(usd), 1) AS total_usd
 FROM (SELECT aid, max(montant_verse_usd_iati_tables) AS usd FROM b_dataset GROUP BY aid)""",
     "total_gap_verdict": """
-SELECT round(it, 4) AS it_usd, round(dp, 4) AS dp_usd, n AS dp_activities, round(it - dp, 4) AS gap_usd,
+SELECT round(it, 1) AS it_usd, round(dp, 1) AS dp_usd, n AS dp_activities, round(it - dp, 1) AS gap_usd,
   round((it - dp) / dp * 100, 4) AS gap_pct,
   CASE WHEN abs((it - dp) / dp * 100) < 2 THEN 'excellent' WHEN abs((it - dp) / dp * 100) < 5 THEN 'good'
     WHEN abs((it - dp) / dp * 100) < 10 THEN 'moderate' ELSE 'significant' END AS verdict
@@ -432,13 +437,13 @@ FROM (SELECT (SELECT sum(usd) FROM b_spend WHERE link IN (SELECT link FROM b_key
   (SELECT sum(usd) FROM a_spend WHERE aid IN (SELECT aid FROM a_keys)) AS dp,
   (SELECT count(*) FROM a_spend WHERE aid IN (SELECT aid FROM a_keys)) AS n)""",
     "total_check_verdict": """
-SELECT n AS n_activities, round(it, 4) AS it_usd, round(it - 1726470646, 4) AS gap_usd,
+SELECT n AS n_activities, round(it, 1) AS it_usd, round(it - 1726470646, 1) AS gap_usd,
   round((it - 1726470646) / 1726470646 * 100, 4) AS gap_pct,
   CASE WHEN abs((it - 1726470646) / 1726470646 * 100) < 5 THEN 'equivalent'
     WHEN abs((it - 1726470646) / 1726470646 * 100) < 10 THEN 'freshness' ELSE 'investigate' END AS verdict
 FROM (SELECT sum(usd) AS it, count(DISTINCT identifier) AS n FROM b_spend WHERE link IN (SELECT link FROM b_keys))""",
     "year_gap": f"""
-SELECT year, {_round('it_usd', 'dp_usd', 'gap_usd', 'gap_pct')},
+SELECT year, {_round('it_usd', 'dp_usd', 'gap_usd', digits=1)}, {_round('gap_pct')},
   coalesce(abs(gap_pct) > 10, false) AND dp_usd > 100000 AS flagged FROM year_gaps""",
     "gap_dispersion": """
 SELECT count(gap_pct) AS n_gaps, round(stddev_samp(gap_pct), 4) AS spread, round(median(gap_pct), 4) AS median_gap,
@@ -489,7 +494,7 @@ FROM tracked WHERE NOT known""",
 SELECT reporting AS publisher, count(*) AS n_activities, round(sum(de), 4) AS total_de_usd
 FROM tracked WHERE NOT known AND reporting IS NOT NULL GROUP BY reporting""",
     "missing_figures": f"""
-SELECT n_activities, n_present, n_missing, {_round('present_usd', 'missing_usd', 'all_usd')},
+SELECT n_activities, n_present, n_missing, {_round('present_usd', 'missing_usd', 'all_usd', digits=1)},
   round(missing_usd / all_usd * 100, 2) AS gap_pct FROM figures""",
     "missing_summary": """
 SELECT 1 AS position, 'run_date' AS metric, strftime(current_date, '%Y-%m-%d') AS value

@@ -1,7 +1,8 @@
 """Registered queries by name; each takes ``(spark, sf_dir)`` and gives a DataFrame.
 
-Money is rounded to four decimals and ratios to four: products of prices and discounts
-have four, so no value lies on a rounding edge and sums may be added in any order.
+Sums of floating-point money depend on the order of addition in their last digits, so
+results are rounded: dollars to the four decimals that prices times discounts have, euros
+to two, francs to none, and totals over many activities to one.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ def query(build: Query) -> Query:
     return build
 
 
-def r4(name: str) -> Column:
-    return F.round(F.col(name), 4).alias(name)
+DIGITS = {"kmf": 0, "eur": 2}
 
 
-def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(F.col(n), 4) for n in names})
+def rounded(df: DataFrame, *names: str, digits: int | None = None) -> DataFrame:
+    return df.withColumns({
+        n: F.round(F.col(n), DIGITS.get(n[-3:], 4) if digits is None else digits) for n in names
+    })
 
 
 # ------------------------------------------------------------------ aid: reports and dataset
@@ -53,7 +55,7 @@ def donor_top4_autres(spark: SparkSession, sf_dir: str) -> DataFrame:
         money.aid_kmf(F.col("spend_eur")).alias("montant_verse_kmf"),
     )
     report = aid.donor_report(published)
-    return rounded(report, "montant_verse_usd", "montant_verse_eur", "montant_verse_kmf")
+    return rounded(report, "montant_verse_usd", "montant_verse_eur", "montant_verse_kmf", digits=1)
 
 
 @query
@@ -66,13 +68,13 @@ def activity_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def donor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = aid.donor_summary(standins.aid_tables(spark, sf_dir))
-    return rounded(summary, "total_usd", "total_eur", "total_kmf")
+    return rounded(summary, "total_usd", "total_eur", "total_kmf", digits=1)
 
 
 @query
 def donor_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = aid.donor_totals(aid.donor_summary(standins.aid_tables(spark, sf_dir)))
-    return totals.select(*[F.round(c, 2).alias(c) for c in totals.columns])
+    return rounded(totals, *totals.columns, digits=1)
 
 
 @query
@@ -212,7 +214,7 @@ def single_country_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def commitment_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = aid.commitment_total(standins.aid_tables(spark, sf_dir))
-    return total.select(F.round("commitment_usd", 2).alias("commitment_usd"), "n_activities")
+    return rounded(total, "commitment_usd", digits=1)
 
 
 @query
@@ -236,7 +238,7 @@ def second_source_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def spend_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = second_source.dataset(standins.second_tables(spark, sf_dir))
-    return rounded(second_source.spend_by_status(published), "total_usd")
+    return rounded(second_source.spend_by_status(published), "total_usd", digits=1)
 
 
 @query
@@ -247,7 +249,7 @@ def multi_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def second_source_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = second_source.dataset(standins.second_tables(spark, sf_dir))
-    return rounded(second_source.spend_total(published), "total_usd")
+    return rounded(second_source.spend_total(published), "total_usd", digits=1)
 
 
 # ------------------------------------------------------------------ reconciliation
@@ -258,18 +260,20 @@ def _both(spark: SparkSession, sf_dir: str):
 
 @query
 def total_gap_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reconcile.total_gap(*_both(spark, sf_dir)), "it_usd", "dp_usd", "gap_usd", "gap_pct")
+    gap = reconcile.total_gap(*_both(spark, sf_dir))
+    return rounded(rounded(gap, "it_usd", "dp_usd", "gap_usd", digits=1), "gap_pct")
 
 
 @query
 def total_check_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     check = reconcile.total_check(standins.second_tables(spark, sf_dir))
-    return rounded(check, "it_usd", "gap_usd", "gap_pct")
+    return rounded(rounded(check, "it_usd", "gap_usd", digits=1), "gap_pct")
 
 
 @query
 def year_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reconcile.year_gap(*_both(spark, sf_dir)), "it_usd", "dp_usd", "gap_usd", "gap_pct")
+    years = reconcile.year_gap(*_both(spark, sf_dir))
+    return rounded(rounded(years, "it_usd", "dp_usd", "gap_usd", digits=1), "gap_pct")
 
 
 @query
@@ -347,7 +351,7 @@ def missing_by_publisher(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def missing_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     figures = reconcile.missing_figures(reconcile.tracked(*_both(spark, sf_dir)))
-    return rounded(figures, "present_usd", "missing_usd", "all_usd")
+    return rounded(figures, "present_usd", "missing_usd", "all_usd", digits=1)
 
 
 @query

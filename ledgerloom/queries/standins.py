@@ -15,6 +15,7 @@ from ledgerloom.plans.aid import AidTables
 from ledgerloom.plans.second_source import SecondTables
 
 SECOND_SOURCE_UNTIL = "2001-01-01"
+USD_PER_EUR = 1.0823
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,7 +115,7 @@ def trans(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("l_orderkey").alias("aid"),
         F.when(F.col("l_tax") < 0.08, day).alias("trans_day"),
         F.when(F.col("l_quantity") < 50, F.col("l_extendedprice")).alias("trans_usd"),
-        F.when(F.col("l_quantity") < 50, F.col("l_extendedprice") / 1.1).alias("trans_eur"),
+        F.when(F.col("l_quantity") < 50, F.col("l_extendedprice") / USD_PER_EUR).alias("trans_eur"),
         F.col("l_extendedprice").alias("trans_value"),
         F.lit("USD").alias("trans_currency"),
         chosen("l_returnflag", {"A": "D", "N": "E", "R": "C"}).alias("trans_code"),
@@ -149,7 +150,7 @@ def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("budget_value"),
         chosen("l_returnflag", {"R": "EUR"}, "USD").alias("budget_currency"),
         stated.alias("budget_usd"),
-        (stated / 1.1).alias("budget_eur"),
+        (stated / USD_PER_EUR).alias("budget_eur"),
     )
 
 
