@@ -68,13 +68,18 @@ def funder_type(country: Column) -> Column:
     return F.when(country.isin(MULTILATERAL, NGO, OTHER), country).otherwise(BILATERAL)
 
 
-def financing_instrument(codes: Column) -> Column:
-    """Grant, loan, both or other, from the comma-joined finance codes of an activity."""
+def code_tokens(codes: Column) -> Column:
+    """Single codes of a comma-joined text; no codes at all give an empty list."""
     tokens = F.transform(F.split(codes, ","), stripped)
+    return F.when(F.coalesce(codes, F.lit("")) == "", F.array().cast("array<string>")).otherwise(tokens)
+
+
+def financing_instrument(tokens: Column) -> Column:
+    """Grant, loan, both or other, from the finance codes of an activity."""
     grant = F.arrays_overlap(tokens, F.lit(fixed.GRANT_CODES))
     loan = F.arrays_overlap(tokens, F.lit(fixed.LOAN_CODES))
     return (
-        F.when(F.coalesce(codes, F.lit("")) == "", UNKNOWN)
+        F.when(F.size(tokens) == 0, UNKNOWN)
         .when(grant & loan, MIXED)
         .when(grant, GRANT)
         .when(loan, LOAN)

@@ -55,12 +55,14 @@ def ordered_lists(
         first = lookup(first, dim, F.col(code).cast("string"), out, F.col(code).cast("string"))
     names = list(codes) + list(labels)
     collected = first.groupBy(key).agg(
-        F.array_sort(
+        F.sort_array(
             F.collect_list(F.struct("_first", *[F.col(n).cast("string").alias(n) for n in names]))
         ).alias("_items"),
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums],
     )
-    lists = [F.array_distinct(F.array_compact(F.col(f"_items.{n}"))).alias(n) for n in names]
+    # array_except drops the null and keeps the first of equal elements, without a lambda
+    nothing = F.array(F.lit(None).cast("string"))
+    lists = [F.array_except(F.col(f"_items.{n}"), nothing).alias(n) for n in names]
     return collected.select(key, *lists, *sums)
 
 

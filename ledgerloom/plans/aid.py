@@ -171,10 +171,10 @@ def transactions_per_activity(trans: DataFrame) -> DataFrame:
             "n_transactions": F.lit(1),
         },
     )
-    texts = _as_text(lists)
+    texts = _as_text(lists).withColumn("_tokens", rules.code_tokens(F.col("trans_finance_code")))
     return texts.withColumn(
-        "instrument_financement", rules.financing_instrument(F.col("trans_finance_code"))
-    )
+        "instrument_financement", rules.financing_instrument(F.col("_tokens"))
+    ).drop("_tokens")
 
 
 def weighted(df: DataFrame, amounts: list[str]) -> DataFrame:

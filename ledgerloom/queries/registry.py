@@ -456,7 +456,7 @@ def array_envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = standins.table(spark, sf_dir, "orders")
     page = F.floor(F.col("o_orderkey") / PAGE_ROWS)
     values = F.array(
-        standins.text("o_orderkey"), F.col("o_orderpriority"), F.concat(F.lit("L"), standins.text("o_orderkey"))
+        F.col("o_orderkey").cast("string"), F.col("o_orderpriority"), F.concat(F.lit("L"), F.col("o_orderkey"))
     )
     documents = orders.groupBy(page.alias("page")).agg(F.collect_list(values).alias("rows")).select(
         F.to_json(F.struct(

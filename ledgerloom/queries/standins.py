@@ -9,283 +9,277 @@ rows, and every view covers its whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from ledgerloom.plans.aid import AidTables
-from ledgerloom.plans.second_source import SecondTables
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SECOND_SOURCE_UNTIL = "2001-01-01"
 USD_PER_EUR = 1.0823
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
-def text(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A benchmark table; the schema is given, so no job is spent on finding it."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-def chosen(c: Column | str, values: dict, default: object = None) -> Column:
-    """Value by code, as CASE."""
-    c = F.col(c) if isinstance(c, str) else c
-    result = F
-    for code, value in values.items():
-        result = result.when(c == code, value)
-    return result.otherwise(default)
 
+# share of the country in an order, as text
+SHARE = """CASE
+  WHEN o_orderpriority = '2-HIGH' THEN NULL
+  WHEN o_orderpriority = '3-MEDIUM' THEN '40'
+  WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN '0'
+  WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 'n/a'
+  ELSE '100' END"""
 
-def share() -> Column:
-    """Share of the country in an order, as text."""
-    planned = F.col("o_orderstatus") == "P"
-    return (
-        F.when(F.col("o_orderpriority") == "2-HIGH", F.lit(None).cast("string"))
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "40")
-        .when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & planned, "0")
-        .when((F.col("o_orderpriority") == "5-LOW") & planned, "n/a")
-        .otherwise("100")
-    )
+LINE_ORDER = "shiftleft(cast(l_linenumber AS bigint), 40)"
 
 
-def stored_identifier(key: Column) -> Column:
+def stored_identifier(key: str) -> str:
     """Identifier as the second source stores it, for some with a blank behind."""
-    return F.when(key % 3 == 0, F.concat(key.cast("string"), F.lit(" "))).otherwise(key.cast("string"))
+    return f"concat({key}, CASE WHEN {key} % 3 = 0 THEN ' ' ELSE '' END)"
 
 
 # ------------------------------------------------------------------ first source
 
 def act(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation = (table(spark, sf_dir, n) for n in ("orders", "customer", "nation"))
-    name = chosen("c_mktsegment", {
-        "BUILDING": "Agence", "FURNITURE": "Red Cross", "HOUSEHOLD": "World Bank", "MACHINERY": "Ministry",
-    })
-    prefix = chosen("n_regionkey", {0: "FR", 1: "us", 2: "XM-DAC", 3: "JP"}, "ZZ")
-    start = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date"))
-    key = text("o_orderkey")
-    return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("o_orderkey").alias("ord"),
-            key.alias("aid"),
-            F.concat(name, F.lit(" "), F.col("n_name")).alias("reporting"),
-            F.concat(prefix, F.lit("-"), text("c_custkey")).alias("reporting_ref"),
-            F.col("c_name").alias("funder_ref"),
-            F.concat(F.lit("Order "), key).alias("title"),
-            F.concat(F.col("o_orderpriority"), F.lit(" / "), F.col("c_name")).alias("description"),
-            F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("ORD-"), key)).alias("slug"),
-            chosen("o_orderstatus", {"O": "2", "F": "4"}, "x").alias("status_code"),
-            text(start).alias("day_start"),
-            F.when(F.col("o_orderstatus") == "F", text(start + 100)).alias("day_end"),
-            F.when(F.col("o_orderstatus") == "F", "100").alias("day_length"),
-        )
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
+        nation, customer.c_nationkey == nation.n_nationkey
+    )
+    return joined.selectExpr(
+        "o_orderkey AS ord",
+        "cast(o_orderkey AS string) AS aid",
+        """concat(CASE c_mktsegment WHEN 'BUILDING' THEN 'Agence' WHEN 'FURNITURE' THEN 'Red Cross'
+           WHEN 'HOUSEHOLD' THEN 'World Bank' WHEN 'MACHINERY' THEN 'Ministry' END, ' ', n_name) AS reporting""",
+        """concat(CASE n_regionkey WHEN 0 THEN 'FR' WHEN 1 THEN 'us' WHEN 2 THEN 'XM-DAC' WHEN 3 THEN 'JP'
+           ELSE 'ZZ' END, '-', c_custkey) AS reporting_ref""",
+        "c_name AS funder_ref",
+        "concat('Order ', o_orderkey) AS title",
+        "concat(o_orderpriority, ' / ', c_name) AS description",
+        "CASE WHEN o_orderpriority <> '5-LOW' THEN concat('ORD-', o_orderkey) END AS slug",
+        "CASE o_orderstatus WHEN 'O' THEN '2' WHEN 'F' THEN '4' ELSE 'x' END AS status_code",
+        "cast(unix_date(date(o_orderdate)) AS string) AS day_start",
+        "CASE WHEN o_orderstatus = 'F' THEN cast(unix_date(date(o_orderdate)) + 100 AS string) END AS day_end",
+        "CASE WHEN o_orderstatus = 'F' THEN '100' END AS day_length",
     )
 
 
 def translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Large orders are translated, some without a title."""
-    key = text("o_orderkey")
-    return table(spark, sf_dir, "orders").where("o_totalprice > 250000").select(
-        F.col("o_orderkey").alias("ord"),
-        key.alias("aid"),
-        F.when(F.col("o_orderpriority") != "1-URGENT", F.concat(F.lit("Commande "), key)).alias("title"),
-        F.concat(F.lit("Commande de priorité "), F.col("o_orderpriority")).alias("description"),
+    return table(spark, sf_dir, "orders").where("o_totalprice > 250000").selectExpr(
+        "o_orderkey AS ord",
+        "cast(o_orderkey AS string) AS aid",
+        "CASE WHEN o_orderpriority <> '1-URGENT' THEN concat('Commande ', o_orderkey) END AS title",
+        "concat('Commande de priorité ', o_orderpriority) AS description",
     )
 
 
 def country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row of the country per order, and one of another country for shared orders."""
-    here = F.struct(F.lit("KM").alias("country_code"), share().alias("country_percent"))
-    there = F.struct(F.lit("XX").alias("country_code"), F.lit("60").alias("country_percent"))
-    rows = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.array(here, there)).otherwise(F.array(here))
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(rows)).select(
-        (F.col("o_orderkey") * 2 + F.col("pos")).alias("ord"),
-        text("o_orderkey").alias("aid"), "col.country_code", "col.country_percent",
+    here = f"named_struct('country_code', 'KM', 'country_percent', {SHARE})"
+    there = "named_struct('country_code', 'XX', 'country_percent', '60')"
+    rows = f"CASE WHEN o_orderpriority = '3-MEDIUM' THEN array({here}, {there}) ELSE array({here}) END"
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"posexplode({rows})").selectExpr(
+        "o_orderkey * 2 + pos AS ord", "cast(o_orderkey AS string) AS aid", "col.country_code", "col.country_percent"
     )
 
 
-def _line_order() -> Column:
-    return (F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_partkey")).alias("ord")
-
-
 def trans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.year("l_shipdate") * 10000 + F.month("l_shipdate") * 100 + F.dayofmonth("l_shipdate")
-    return table(spark, sf_dir, "lineitem").select(
-        _line_order(),
-        text("l_orderkey").alias("aid"),
-        F.when(F.col("l_tax") < 0.08, day).alias("trans_day"),
-        F.when(F.col("l_quantity") < 50, F.col("l_extendedprice")).alias("trans_usd"),
-        F.when(F.col("l_quantity") < 50, F.col("l_extendedprice") / USD_PER_EUR).alias("trans_eur"),
-        F.col("l_extendedprice").alias("trans_value"),
-        F.lit("USD").alias("trans_currency"),
-        chosen("l_returnflag", {"A": "D", "N": "E", "R": "C"}).alias("trans_code"),
-        chosen("l_linestatus", {"O": "10"}, "99").alias("trans_flow_code"),
-        chosen("l_linenumber", {1: "110", 2: "421", 3: "510", 4: "110"}).alias("trans_finance_code"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{LINE_ORDER} + l_partkey AS ord",
+        "cast(l_orderkey AS string) AS aid",
+        """CASE WHEN l_tax < 0.08 THEN year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)
+           END AS trans_day""",
+        "CASE WHEN l_quantity < 50 THEN l_extendedprice END AS trans_usd",
+        f"CASE WHEN l_quantity < 50 THEN l_extendedprice / {USD_PER_EUR}D END AS trans_eur",
+        "l_extendedprice AS trans_value",
+        "'USD' AS trans_currency",
+        "CASE l_returnflag WHEN 'A' THEN 'D' WHEN 'N' THEN 'E' WHEN 'R' THEN 'C' END AS trans_code",
+        "CASE l_linestatus WHEN 'O' THEN '10' ELSE '99' END AS trans_flow_code",
+        """CASE l_linenumber WHEN 1 THEN '110' WHEN 2 THEN '421' WHEN 3 THEN '510' WHEN 4 THEN '110'
+           END AS trans_finance_code""",
     )
 
 
 def sector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part types as sectors; one of them is unknown and so is its group."""
-    code = chosen("p_type", {
-        "ECONOMY": "11110", "STANDARD": "12110", "SMALL": "14030", "MEDIUM": "31110", "LARGE": "99810",
-    }, F.col("p_type"))
-    group = F.when(F.col("p_type") == "PROMO", F.col("p_brand")).when(
-        F.col("p_type") != "LARGE", F.substring(code, 1, 3)
-    )
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            _line_order(), text("l_orderkey").alias("aid"),
-            group.alias("sector_group"), code.alias("sector_code"), F.lit("100").alias("sector_percent"),
-        )
+    lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    return lines.join(part, lines.l_partkey == part.p_partkey).selectExpr(
+        f"{LINE_ORDER} + l_partkey AS ord",
+        "cast(l_orderkey AS string) AS aid",
+        """CASE p_type WHEN 'ECONOMY' THEN '111' WHEN 'STANDARD' THEN '121' WHEN 'SMALL' THEN '140'
+           WHEN 'MEDIUM' THEN '311' WHEN 'PROMO' THEN p_brand END AS sector_group""",
+        """CASE p_type WHEN 'ECONOMY' THEN '11110' WHEN 'STANDARD' THEN '12110' WHEN 'SMALL' THEN '14030'
+           WHEN 'MEDIUM' THEN '31110' WHEN 'LARGE' THEN '99810' ELSE p_type END AS sector_code""",
+        "'100' AS sector_percent",
     )
 
 
 def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stated = F.when(F.col("l_linenumber") < 7, F.col("l_extendedprice"))
-    return table(spark, sf_dir, "lineitem").select(
-        _line_order(),
-        text("l_orderkey").alias("aid"),
-        F.col("l_extendedprice").alias("budget_value"),
-        chosen("l_returnflag", {"R": "EUR"}, "USD").alias("budget_currency"),
-        stated.alias("budget_usd"),
-        (stated / USD_PER_EUR).alias("budget_eur"),
+    """Priced items, some without a converted amount."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{LINE_ORDER} + l_partkey AS ord",
+        "cast(l_orderkey AS string) AS aid",
+        "l_extendedprice AS budget_value",
+        "CASE l_returnflag WHEN 'R' THEN 'EUR' ELSE 'USD' END AS budget_currency",
+        "CASE WHEN l_linenumber < 7 THEN l_extendedprice END AS budget_usd",
+        f"CASE WHEN l_linenumber < 7 THEN l_extendedprice / {USD_PER_EUR}D END AS budget_eur",
     )
 
 
 def location(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier places; those of nation 0 are nameless."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            (F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_suppkey")).alias("ord"),
-            text("l_orderkey").alias("aid"),
-            F.when(F.col("s_nationkey") > 0, F.col("s_name")).alias("location_name"),
-            text("s_nationkey").alias("location_latitude"),
-            text(-F.col("s_nationkey")).alias("location_longitude"),
-        )
+    lines, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    return lines.join(supplier, lines.l_suppkey == supplier.s_suppkey).selectExpr(
+        f"{LINE_ORDER} + l_suppkey AS ord",
+        "cast(l_orderkey AS string) AS aid",
+        "CASE WHEN s_nationkey > 0 THEN s_name END AS location_name",
+        "cast(s_nationkey AS string) AS location_latitude",
+        "cast(-s_nationkey AS string) AS location_longitude",
     )
 
 
-def aid_tables(spark: SparkSession, sf_dir: str) -> AidTables:
-    return AidTables(*[
-        view(spark, sf_dir) for view in (act, translation, country, sector, budget, trans, location)
-    ])
+class Views:
+    """Tables by attribute, each built when a plan first asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, **views) -> None:
+        self._spark, self._sf_dir, self._views = spark, sf_dir, views
+
+    def __getattr__(self, name: str) -> DataFrame:
+        views = self.__dict__.get("_views", {})
+        if name not in views:
+            raise AttributeError(name)
+        self.__dict__[name] = views[name](self._spark, self._sf_dir)
+        return self.__dict__[name]
+
+
+def aid_tables(spark: SparkSession, sf_dir: str) -> Views:
+    """The views in the place of :class:`ledgerloom.plans.aid.AidTables`."""
+    return Views(
+        spark, sf_dir, act=act, translation=translation, country=country, sector=sector, budget=budget,
+        trans=trans, location=location,
+    )
 
 
 # ------------------------------------------------------------------ second source
 
 def _known_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second source lags: newer orders are not in it."""
-    return table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(SECOND_SOURCE_UNTIL).cast("timestamp_ntz"))
+    return table(spark, sf_dir, "orders").where(f"o_orderdate < timestamp_ntz '{SECOND_SOURCE_UNTIL}'")
 
 
 def second_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _known_orders(spark, sf_dir).join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    ).select(
-        F.concat(F.lit("L"), text("o_orderkey")).alias("_link"),
-        stored_identifier(F.col("o_orderkey")).alias("iatiidentifier"),
-        F.concat(F.lit("Order "), text("o_orderkey")).alias("title_narrative"),
-        F.col("o_orderpriority").alias("description"),
-        F.col("c_mktsegment").alias("reportingorg_narrative"),
-        F.col("c_name").alias("reportingorg_ref"),
-        F.col("o_orderstatus").alias("activitystatus_code"),
-        chosen("o_orderstatus", {"O": "Implementation", "F": "Closed"}).alias("activitystatus_codename"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("actualstart"),
-        F.lit(None).cast("string").alias("actualend"),
+    orders, customer = _known_orders(spark, sf_dir), table(spark, sf_dir, "customer")
+    known = orders.join(customer, orders.o_custkey == customer.c_custkey).selectExpr(
+        "concat('L', o_orderkey) AS _link",
+        f"{stored_identifier('o_orderkey')} AS iatiidentifier",
+        "concat('Order ', o_orderkey) AS title_narrative",
+        "o_orderpriority AS description",
+        "c_mktsegment AS reportingorg_narrative",
+        "c_name AS reportingorg_ref",
+        "o_orderstatus AS activitystatus_code",
+        "CASE o_orderstatus WHEN 'O' THEN 'Implementation' WHEN 'F' THEN 'Closed' END AS activitystatus_codename",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS actualstart",
+        "cast(NULL AS string) AS actualend",
     )
-    alone = table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("S"), text("s_suppkey")).alias("_link"),
-        F.concat(F.lit("EXT-"), text("s_suppkey")).alias("iatiidentifier"),
-        F.col("s_name").alias("title_narrative"),
-        F.lit(None).cast("string").alias("description"),
-        F.col("s_name").alias("reportingorg_narrative"),
-        F.lit(None).cast("string").alias("reportingorg_ref"),
-        F.lit("O").alias("activitystatus_code"),
-        F.lit("Implementation").alias("activitystatus_codename"),
-        F.lit("2000-01-01").alias("actualstart"),
-        F.lit(None).cast("string").alias("actualend"),
+    alone = table(spark, sf_dir, "supplier").selectExpr(
+        "concat('S', s_suppkey) AS _link",
+        "concat('EXT-', s_suppkey) AS iatiidentifier",
+        "s_name AS title_narrative",
+        "cast(NULL AS string) AS description",
+        "s_name AS reportingorg_narrative",
+        "cast(NULL AS string) AS reportingorg_ref",
+        "'O' AS activitystatus_code",
+        "'Implementation' AS activitystatus_codename",
+        "'2000-01-01' AS actualstart",
+        "cast(NULL AS string) AS actualend",
     )
-    return orders.unionByName(alone)
+    return known.unionByName(alone)
 
 
 def second_recipient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As the country rows; some orders repeat the row of the country."""
-    here = F.struct(F.lit("KM").alias("code"), share().alias("percentage"))
-    there = F.struct(F.lit("XX").alias("code"), F.lit("60").alias("percentage"))
-    repeated = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F")
-    rows = (
-        F.when(F.col("o_orderpriority") == "3-MEDIUM", F.array(here, there))
-        .when(repeated, F.array(here, here))
-        .otherwise(F.array(here))
+    here = f"named_struct('code', 'KM', 'percentage', {SHARE})"
+    there = "named_struct('code', 'XX', 'percentage', '60')"
+    known = _known_orders(spark, sf_dir).selectExpr(
+        "concat('L', o_orderkey) AS _link_activity",
+        f"""inline(CASE WHEN o_orderpriority = '3-MEDIUM' THEN array({here}, {there})
+            WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN array({here}, {here})
+            ELSE array({here}) END)""",
     )
-    orders = _known_orders(spark, sf_dir).select(
-        F.concat(F.lit("L"), text("o_orderkey")).alias("_link_activity"), F.inline(rows)
+    alone = table(spark, sf_dir, "supplier").selectExpr(
+        "concat('S', s_suppkey) AS _link_activity", "'KM' AS code", "cast(NULL AS string) AS percentage"
     )
-    alone = table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("S"), text("s_suppkey")).alias("_link_activity"),
-        F.lit("KM").alias("code"), F.lit(None).cast("string").alias("percentage"),
-    )
-    return orders.unionByName(alone)
+    return known.unionByName(alone)
 
 
 def second_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items after discount, by shipping day, and one amount per supplier."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        stored_identifier(F.col("l_orderkey")).alias("iatiidentifier"),
-        F.concat(F.lit("L"), text("l_orderkey")).alias("_link_activity"),
-        chosen("l_returnflag", {"A": "3", "N": "4", "R": "2"}).alias("transactiontype_code"),
-        chosen("l_returnflag", {"A": "Disbursement", "N": "Expenditure", "R": "Outgoing Commitment"}).alias(
-            "transactiontype_codename"),
-        F.when(F.col("l_tax") < 0.08, F.date_format("l_shipdate", "yyyy-MM-dd")).alias("transactiondate_isodate"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("value_usd"),
-        F.lit("USD").alias("value_currency"),
-        F.col("l_extendedprice").alias("value"),
-        F.lit(None).cast("string").alias("value_valuedate"),
-        F.lit(None).cast("string").alias("sector_code"),
-        F.lit(None).cast("string").alias("sector_codename"),
-        F.lit("KM").alias("recipientcountry_code"),
-        F.lit(100.0).alias("percentage_used"),
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        f"{stored_identifier('l_orderkey')} AS iatiidentifier",
+        "concat('L', l_orderkey) AS _link_activity",
+        "CASE l_returnflag WHEN 'A' THEN '3' WHEN 'N' THEN '4' WHEN 'R' THEN '2' END AS transactiontype_code",
+        """CASE l_returnflag WHEN 'A' THEN 'Disbursement' WHEN 'N' THEN 'Expenditure'
+           WHEN 'R' THEN 'Outgoing Commitment' END AS transactiontype_codename""",
+        "CASE WHEN l_tax < 0.08 THEN date_format(l_shipdate, 'yyyy-MM-dd') END AS transactiondate_isodate",
+        "l_extendedprice * (1 - l_discount) AS value_usd",
+        "'USD' AS value_currency",
+        "l_extendedprice AS value",
+        "cast(NULL AS string) AS value_valuedate",
+        "cast(NULL AS string) AS sector_code",
+        "cast(NULL AS string) AS sector_codename",
+        "'KM' AS recipientcountry_code",
+        "100D AS percentage_used",
     )
-    alone = table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("EXT-"), text("s_suppkey")).alias("iatiidentifier"),
-        F.concat(F.lit("S"), text("s_suppkey")).alias("_link_activity"),
-        F.lit("3").alias("transactiontype_code"),
-        F.lit("Disbursement").alias("transactiontype_codename"),
-        F.lit("2000-01-01").alias("transactiondate_isodate"),
-        F.col("s_acctbal").alias("value_usd"),
-        F.lit("USD").alias("value_currency"),
-        F.col("s_acctbal").alias("value"),
-        F.lit("KM").alias("recipientcountry_code"),
-        F.lit(100.0).alias("percentage_used"),
+    alone = table(spark, sf_dir, "supplier").selectExpr(
+        "concat('EXT-', s_suppkey) AS iatiidentifier",
+        "concat('S', s_suppkey) AS _link_activity",
+        "'3' AS transactiontype_code",
+        "'Disbursement' AS transactiontype_codename",
+        "'2000-01-01' AS transactiondate_isodate",
+        "s_acctbal AS value_usd",
+        "'USD' AS value_currency",
+        "s_acctbal AS value",
+        "'KM' AS recipientcountry_code",
+        "100D AS percentage_used",
     )
     return lines.unionByName(alone, allowMissingColumns=True)
 
 
 def second_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("L"), text("o_orderkey")).alias("_link_activity"),
-        F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice")).alias("value"),
-        chosen("o_orderstatus", {"O": "USD"}, "EUR").alias("value_currency"),
-        stored_identifier(F.col("o_orderkey")).alias("iatiidentifier"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('L', o_orderkey) AS _link_activity",
+        "CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice END AS value",
+        "CASE o_orderstatus WHEN 'O' THEN 'USD' ELSE 'EUR' END AS value_currency",
+        f"{stored_identifier('o_orderkey')} AS iatiidentifier",
     )
 
 
-def second_tables(spark: SparkSession, sf_dir: str) -> SecondTables:
-    return SecondTables(*[
-        view(spark, sf_dir) for view in (second_activity, second_recipient, second_breakdown, second_budget)
-    ])
+def second_tables(spark: SparkSession, sf_dir: str) -> Views:
+    """The views in the place of :class:`ledgerloom.plans.second_source.SecondTables`."""
+    return Views(
+        spark, sf_dir, activity=second_activity, recipient=second_recipient, breakdown=second_breakdown,
+        budget=second_budget,
+    )
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot of an identifier registry in which some identifiers were never asked for."""
-    return table(spark, sf_dir, "orders").select(
-        text("o_orderkey").alias("identifier"),
-        F.when(F.col("o_orderpriority") != "2-HIGH", F.lit(1)).alias("occurrences"),
-        (F.col("o_orderpriority") != "4-NOT SPECIFIED").alias("checked"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey AS string) AS identifier",
+        "CASE WHEN o_orderpriority <> '2-HIGH' THEN 1 END AS occurrences",
+        "o_orderpriority <> '4-NOT SPECIFIED' AS checked",
     )
 
 
@@ -296,41 +290,36 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Nations are joined after the grouping, when one row per published cell is left.
     """
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_extendedprice",
-        F.year("l_shipdate").alias("annee"), chosen("l_returnflag", {"R": "M"}, "X").alias("flux"),
-    )
-    owners = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "c_nationkey")
-    )
+    lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
     per_nation = (
-        lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("annee", "flux", "p_type", "c_nationkey")
+        lines.join(part, lines.l_partkey == part.p_partkey)
+        .join(orders.join(customer, orders.o_custkey == customer.c_custkey), lines.l_orderkey == orders.o_orderkey)
+        .groupBy(
+            F.year("l_shipdate").alias("annee"),
+            F.expr("CASE l_returnflag WHEN 'R' THEN 'M' ELSE 'X' END").alias("flux"),
+            "p_type", "c_nationkey",
+        )
         .agg((F.sum("l_extendedprice") / 1000).alias("thousands"))
     )
-    partner = chosen("n_nationkey", {0: "WLD", 1: "FRA", 2: "ARE"}, F.col("n_name"))
-    value = F.when(F.col("n_nationkey") == 5, 0.0).when(F.col("n_nationkey") != 6, F.col("thousands"))
-    return per_nation.join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    ).select(
+    return per_nation.join(nation, per_nation.c_nationkey == nation.n_nationkey).selectExpr(
         "flux",
-        chosen("p_type", {
-            "ECONOMY": "01-05_Animal", "STANDARD": "27-27_Fuels", "SMALL": "84-85_MachElec",
-        }, F.col("p_type")).alias("section_code"),
-        partner.alias("PARTNER"), F.col("annee").alias("TIME_PERIOD"), value.alias("OBS_VALUE"),
+        """CASE p_type WHEN 'ECONOMY' THEN '01-05_Animal' WHEN 'STANDARD' THEN '27-27_Fuels'
+           WHEN 'SMALL' THEN '84-85_MachElec' ELSE p_type END AS section_code""",
+        "CASE n_nationkey WHEN 0 THEN 'WLD' WHEN 1 THEN 'FRA' WHEN 2 THEN 'ARE' ELSE n_name END AS PARTNER",
+        "annee AS TIME_PERIOD",
+        "CASE WHEN n_nationkey = 5 THEN 0D WHEN n_nationkey <> 6 THEN thousands END AS OBS_VALUE",
     )
 
 
 def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as releases of their user; failed ones have no file."""
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("ord"),
-        F.col("user_id").alias("reporterCode"),
-        F.date_format("ts", "yyyyMMdd").alias("period"),
-        F.when(F.col("event_type") != "error", F.concat(F.lit("file-"), text("event_id"))).alias("fileUrl"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS ord",
+        "user_id AS reporterCode",
+        "date_format(ts, 'yyyyMMdd') AS period",
+        "CASE WHEN event_type <> 'error' THEN concat('file-', event_id) END AS fileUrl",
         "event_type",
     )
 
@@ -341,4 +330,4 @@ def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(text("p_partkey").alias("id"), F.col("p_name").alias("text"))
+    return table(spark, sf_dir, "part").selectExpr("cast(p_partkey AS string) AS id", "p_name AS text")

@@ -41,7 +41,9 @@ def build_session(
         .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "16384")
     )
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config(
+            "spark.ui.showConsoleProgress", "false"
+        )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
