@@ -76,7 +76,7 @@ def publish_tracker(flagged: DataFrame, path: str) -> None:
     day = spark.range(1).select(run_date().alias("d")).first()["d"]
     base = f"{path}/run_date={day}"
     write(flagged, f"{base}/activities", partition_by=["in_second"])
-    stored = spark.read.parquet(f"{base}/activities")
+    stored = spark.read.schema(flagged.schema).parquet(f"{base}/activities")
     write(reconcile.missing_detail(stored), f"{base}/missing")
     write(reconcile.missing_by_publisher(stored), f"{base}/by_publisher")
     write(reconcile.missing_summary(reconcile.missing_figures(stored)), f"{base}/summary")
