@@ -83,22 +83,31 @@ def top_and_others(
 
     The row of the rest always exists and is marked by ``is_others``, so that a real
     member of that name stays apart from it. ``position`` gives the published order.
+
+    The largest rows are broadcast (n at most) and carry all measures, and the final sums
+    take theirs from there: both uses of ``df`` then need the same columns, and Spark
+    computes it once and reuses the exchange.
     """
-    top = df.orderBy(F.col(by).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(n)
-    # at most n rows: small by construction
-    marks = F.broadcast(top.select(F.col(key).alias("_top")))
-    rest = df.join(marks, F.col(key).eqNullSafe(F.col("_top")), "left_anti").agg(
-        *[F.coalesce(F.sum(m), F.lit(0)).cast(df.schema[m].dataType).alias(m) for m in measures]
+    order = [F.col(by).desc_nulls_last(), F.col(key).asc_nulls_last()]
+    top = df.orderBy(*order).limit(n).select(
+        F.row_number().over(Window.orderBy(*order)).alias("position"),  # over n rows
+        F.col(key).alias("_top"), *[F.col(m).alias(f"_top_{m}") for m in measures],
+    )
+    marked = df.join(F.broadcast(top), F.col(key).eqNullSafe(F.col("_top")), "left")
+    in_top = F.col("position").isNotNull()
+    parts = marked.select(
+        F.coalesce("position", F.lit(n + 1)).alias("position"),
+        (~in_top).alias("is_others"),
+        F.when(in_top, F.col(key)).otherwise(others).alias(key),
+        *[F.when(in_top, F.col(f"_top_{m}")).otherwise(F.col(m)).alias(m) for m in measures],
     )
-    # a window without keys, over n rows at most
-    place = F.row_number().over(
-        Window.orderBy(F.col(by).desc_nulls_last(), F.col(key).asc_nulls_last())
+    nothing = df.sparkSession.range(1).select(
+        F.lit(n + 1).alias("position"), F.lit(True).alias("is_others"), F.lit(others).alias(key),
+        *[F.lit(0).cast(df.schema[m].dataType).alias(m) for m in measures],
     )
-    ranked = top.select(place.alias("position"), F.lit(False).alias("is_others"), key, *measures)
-    rest = rest.select(
-        F.lit(n + 1).alias("position"), F.lit(True).alias("is_others"), F.lit(others).alias(key), *measures
+    return parts.unionByName(nothing).groupBy("position", "is_others", key).agg(
+        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]
     )
-    return ranked.unionByName(rest)
 
 
 def gap_spread(df: DataFrame, percent: str) -> DataFrame:

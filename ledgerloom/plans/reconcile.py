@@ -151,13 +151,30 @@ def year_dispersion(years: DataFrame, floor: float = 1e5) -> DataFrame:
 
 # ------------------------------------------------------------------ activities
 
+def _with_first_spend(top: DataFrame, key: str, trans: DataFrame) -> DataFrame:
+    """A few rows with their spend in the first source as ``dp_usd``, 0 without any.
+
+    The rows are broadcast to the transactions, which are not shuffled for them, and a
+    zero amount per row keeps those without transactions. Both uses of ``top`` need the
+    same columns, so that Spark computes it once.
+    """
+    # equal rows stay apart by their number
+    top = top.withColumn("_row", F.row_number().over(Window.orderBy(*top.columns)))
+    usd = clean.number_of(trans, "trans_usd").alias("_usd")
+    spend = trans.where(F.col("trans_code").isin(fixed.SPEND_CODES)).select(F.col("aid").alias("_aid"), usd)
+    found = spend.join(F.broadcast(top), F.col("_aid") == F.col(key)).select(*top.columns, "_usd")
+    nothing = top.withColumn("_usd", F.lit(0.0))
+    return found.unionByName(nothing).groupBy(*top.columns).agg(
+        total(F.col("_usd")).alias("dp_usd")
+    ).drop("_row")
+
+
 def spot_check(
     first: AidTables, second: SecondTables, n: int = 10, code: str = fixed.COUNTRY_CODE
 ) -> DataFrame:
     """The n largest activities of the second source, looked up in the first.
 
-    Only the n identifiers go to the transactions of the first source, as a broadcast of
-    n rows at most; its transactions are not shuffled for them.
+    Keys and names of n activities at most travel, as broadcasts.
     """
     spend = restricted(
         second_spend(second.breakdown, "_link_activity", code), second_keys(second, code), "_link_activity"
@@ -171,10 +188,8 @@ def spot_check(
     )
     named = top.join(names, "_link_activity", "left")
     named = largest(named, n, "it_usd", "_link_activity", "identifier")
-    wanted = F.broadcast(named.select(F.col("identifier").alias("_id")).where("_id IS NOT NULL").distinct())
-    found = first_spend(first.trans.join(wanted, F.col("aid") == F.col("_id"), "left_semi"))
-    joined = named.join(found, F.col("identifier") == F.col("aid"), "left").drop("aid")
-    dp = F.when(F.col("identifier").isNotNull(), F.coalesce("dp_usd", F.lit(0.0)))
+    joined = _with_first_spend(named, "identifier", first.trans)
+    dp = F.when(F.col("identifier").isNotNull(), F.col("dp_usd"))
     return joined.withColumn("dp_usd", dp).withColumns({
         "gap_pct": gaps.gap_percent(F.col("it_usd"), F.col("dp_usd")),
         "gap_text": gaps.spot_text(F.col("identifier"), F.col("it_usd"), F.col("dp_usd")),
@@ -252,10 +267,7 @@ def shared_gaps(
         first_identifiers(first, code), "_id", "identifier",
     ).drop("_id")
     top = largest(shared, n, "it_usd", "iatiidentifier")
-    wanted = F.broadcast(top.select(F.col("iatiidentifier").alias("_id")))
-    found = first_spend(first.trans.join(wanted, F.col("aid") == F.col("_id"), "left_semi"))
-    joined = top.join(found, F.col("iatiidentifier") == F.col("aid"), "left").drop("aid")
-    joined = joined.fillna(0, ["dp_usd"]).withColumns({
+    joined = _with_first_spend(top, "iatiidentifier", first.trans).withColumns({
         "gap_usd": F.col("it_usd") - F.col("dp_usd"),
         "gap_pct": gaps.gap_percent(F.col("it_usd"), F.col("dp_usd")),
     })

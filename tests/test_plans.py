@@ -79,3 +79,15 @@ def test_large_tables_without_statistics_are_not_broadcast(spark):
                     assert re.search(r"LocalTableScan|TakeOrderedAndProject", below), f"{name}: {below}"
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name,prefix,scans", [
+    ("donor_top4_autres", "l_", 1), ("donor_top4_autres", "o_", 2),
+    ("top10_spot", "l_", 2), ("shared_top20_gap", "l_", 2),
+])
+def test_a_table_is_not_scanned_again(spark, name, prefix, scans):
+    """Executed plan: the second use of a common part is a reused exchange."""
+    df = QUERIES[name](spark, SF)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet [" + prefix) == scans
