@@ -330,6 +330,9 @@ FROM (
   UNION ALL
   SELECT 5, true, 'Autres', sum(n)::bigint, sum(usd), sum(eur), sum(kmf)
   FROM (SELECT *, row_number() OVER (ORDER BY usd DESC, name NULLS LAST) AS r FROM funders) WHERE r > 4)""",
+    "donor_report_totals": """
+SELECT sum(n)::bigint AS nb_projets, sum(n)::bigint AS n_projets, count(name) AS n_bailleurs,
+  round(sum(usd), 1) AS total_usd, round(sum(eur), 1) AS total_eur, round(sum(kmf), 1) AS total_kmf FROM funders""",
     "activity_star": f"""
 SELECT a.aid AS id_projet, coalesce(fr.title, a.title) AS titre, coalesce(fr.description, a.description) AS description,
   'https://d-portal.org/ctrack.html?slug=' || slug || '#view=act' AS lien_source,

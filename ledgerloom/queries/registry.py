@@ -38,26 +38,37 @@ def rounded(df: DataFrame, *names: str, digits: int | None = None) -> DataFrame:
 
 # ------------------------------------------------------------------ aid: reports and dataset
 
-@query
-def donor_top4_autres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spend of the four largest funders and of all others, over the whole registry."""
+def _amounts_by_funder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the published dataset that the funder report reads."""
     tables = standins.aid_tables(spark, sf_dir)
     spend = aid.spend_per_activity(tables.trans)
     acts = rank.first_per_key(tables.act, ["aid"], ["ord"]).select("aid", "reporting")
     weighted = aid.weighted(
         joins.star(acts.join(aid.shares(tables.country), "aid"), "aid", spend), ["spend_usd", "spend_eur"]
     )
-    published = weighted.select(
+    return weighted.select(
         F.col("aid").alias("id_projet"),
         F.col("reporting").alias("bailleur_de_fonds"),
         F.col("spend_usd").alias("montant_verse_usd"),
         F.col("spend_eur").alias("montant_verse_eur"),
         money.aid_kmf(F.col("spend_eur")).alias("montant_verse_kmf"),
     )
-    report = aid.donor_report(published)
+
+
+@query
+def donor_top4_autres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spend of the four largest funders and of all others, over the whole registry."""
+    report = aid.donor_report(_amounts_by_funder(spark, sf_dir))
     return rounded(report, "montant_verse_usd", "montant_verse_eur", "montant_verse_kmf", digits=1)
 
 
+@query
+def donor_report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    published = _amounts_by_funder(spark, sf_dir)
+    totals = aid.report_totals(aid.donor_report(published), published)
+    return rounded(totals, "total_usd", "total_eur", "total_kmf", digits=1)
+
+
 @query
 def activity_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published dataset, 24 columns."""
