@@ -315,6 +315,10 @@ def _round(*names: str, digits: int | None = None) -> str:
     return ", ".join(f"round({n}, {_digits(n) if digits is None else digits}) AS {n}" for n in names)
 
 
+def _totals(*names: str) -> str:
+    return ", ".join(f"round({n}, {({'usd': 3, 'eur': 1, 'kmf': 0})[n[-3:]]}) AS {n}" for n in names)
+
+
 def _digits(name: str) -> int:
     return {"kmf": 0, "eur": 2}.get(name[-3:], 4)
 
@@ -322,7 +326,7 @@ def _digits(name: str) -> int:
 BODIES = {
     "donor_top4_autres": f"""
 SELECT position, is_others, bailleur_de_fonds, nb_projets,
-  {_round('montant_verse_usd', 'montant_verse_eur', 'montant_verse_kmf', digits=1)}, left(bailleur_de_fonds, 46) AS libelle
+  {_totals('montant_verse_usd', 'montant_verse_eur', 'montant_verse_kmf')}, left(bailleur_de_fonds, 46) AS libelle
 FROM (
   SELECT r AS position, false AS is_others, name AS bailleur_de_fonds, n AS nb_projets,
     usd AS montant_verse_usd, eur AS montant_verse_eur, kmf AS montant_verse_kmf
@@ -332,7 +336,7 @@ FROM (
   FROM (SELECT *, row_number() OVER (ORDER BY usd DESC, name NULLS LAST) AS r FROM funders) WHERE r > 4)""",
     "donor_report_totals": """
 SELECT sum(n)::bigint AS nb_projets, sum(n)::bigint AS n_projets, count(name) AS n_bailleurs,
-  round(sum(usd), 1) AS total_usd, round(sum(eur), 1) AS total_eur, round(sum(kmf), 1) AS total_kmf FROM funders""",
+  round(sum(usd), 3) AS total_usd, round(sum(eur), 1) AS total_eur, round(sum(kmf), 0) AS total_kmf FROM funders""",
     "activity_star": f"""
 SELECT a.aid AS id_projet, coalesce(fr.title, a.title) AS titre, coalesce(fr.description, a.description) AS description,
   'https://d-portal.org/ctrack.html?slug=' || slug || '#view=act' AS lien_source,
@@ -352,14 +356,14 @@ LEFT JOIN sec_lists sl ON sl.aid = a.aid LEFT JOIN budgets b ON b.aid = a.aid
 LEFT JOIN weighted w ON w.aid = a.aid LEFT JOIN instruments i ON i.aid = a.aid
 LEFT JOIN loc_lists ll ON ll.aid = a.aid""",
     "donor_summary": f"""
-SELECT region_bailleur, pays_bailleur, type_bailleur, {_round('total_usd', 'total_eur', 'total_kmf', digits=1)},
+SELECT region_bailleur, pays_bailleur, type_bailleur, {_totals('total_usd', 'total_eur', 'total_kmf')},
   '$' || printf('%,d', round_even(total_usd, 0)::bigint) AS text_usd,
   '€' || printf('%,d', round_even(total_eur, 0)::bigint) AS text_eur,
   printf('%,d', round_even(total_kmf, 0)::bigint) || ' KMF' AS text_kmf
 FROM summary""",
     "donor_grand_total": """
-SELECT round(sum(total_usd), 1) AS total_usd, round(sum(total_eur), 1) AS total_eur,
-  round(sum(total_kmf), 1) AS total_kmf FROM summary""",
+SELECT round(sum(total_usd), 3) AS total_usd, round(sum(total_eur), 1) AS total_eur,
+  round(sum(total_kmf), 0) AS total_kmf FROM summary""",
     "activity_country_inner": """
 SELECT a.aid, title, reporting_ref, country_code, country_percent
 FROM a_act a JOIN a_country c ON c.aid = a.aid WHERE country_code = 'KM'""",
@@ -413,7 +417,7 @@ SELECT status_code, count(DISTINCT a.aid) AS n_activities FROM a_act a JOIN a_co
 WHERE c.country_code = 'KM' AND (SELECT count(*) FROM a_country c2 WHERE c2.aid = a.aid) = 1
 GROUP BY status_code""",
     "commitment_total": """
-SELECT round(sum(coalesce(trans_usd, 0)), 1) AS commitment_usd, count(DISTINCT a.aid) AS n_activities
+SELECT round(sum(coalesce(trans_usd, 0)), 3) AS commitment_usd, count(DISTINCT a.aid) AS n_activities
 FROM a_act a JOIN a_trans t ON t.aid = a.aid
 WHERE trans_code = 'C' AND a.aid IN (SELECT aid FROM sole_keys)""",
     "single_country_keys": "SELECT link AS _link_activity FROM b_keys",
@@ -432,7 +436,7 @@ FROM b_dataset WHERE status_label IS NOT NULL GROUP BY status_label""",
 SELECT count(*) AS n_activities, round(sum(usd), 1) AS total_usd
 FROM (SELECT aid, max(montant_verse_usd_iati_tables) AS usd FROM b_dataset GROUP BY aid)""",
     "total_gap_verdict": """
-SELECT round(it, 1) AS it_usd, round(dp, 1) AS dp_usd, n AS dp_activities, round(it - dp, 1) AS gap_usd,
+SELECT round(it, 1) AS it_usd, round(dp, 3) AS dp_usd, n AS dp_activities, round(it - dp, 1) AS gap_usd,
   round((it - dp) / dp * 100, 4) AS gap_pct,
   CASE WHEN abs((it - dp) / dp * 100) < 2 THEN 'excellent' WHEN abs((it - dp) / dp * 100) < 5 THEN 'good'
     WHEN abs((it - dp) / dp * 100) < 10 THEN 'moderate' ELSE 'significant' END AS verdict
@@ -446,7 +450,7 @@ SELECT n AS n_activities, round(it, 1) AS it_usd, round(it - 1726470646, 1) AS g
     WHEN abs((it - 1726470646) / 1726470646 * 100) < 10 THEN 'freshness' ELSE 'investigate' END AS verdict
 FROM (SELECT sum(usd) AS it, count(DISTINCT identifier) AS n FROM b_spend WHERE link IN (SELECT link FROM b_keys))""",
     "year_gap": f"""
-SELECT year, {_round('it_usd', 'dp_usd', 'gap_usd', digits=1)}, {_round('gap_pct')},
+SELECT year, {_round('it_usd', 'gap_usd', digits=1)}, {_totals('dp_usd')}, {_round('gap_pct')},
   coalesce(abs(gap_pct) > 10, false) AND dp_usd > 100000 AS flagged FROM year_gaps""",
     "gap_dispersion": """
 SELECT count(gap_pct) AS n_gaps, round(stddev_samp(gap_pct), 4) AS spread, round(median(gap_pct), 4) AS median_gap,
@@ -497,7 +501,7 @@ FROM tracked WHERE NOT known""",
 SELECT reporting AS publisher, count(*) AS n_activities, round(sum(de), 4) AS total_de_usd
 FROM tracked WHERE NOT known AND reporting IS NOT NULL GROUP BY reporting""",
     "missing_figures": f"""
-SELECT n_activities, n_present, n_missing, {_round('present_usd', 'missing_usd', 'all_usd', digits=1)},
+SELECT n_activities, n_present, n_missing, {_totals('present_usd', 'missing_usd', 'all_usd')},
   round(missing_usd / all_usd * 100, 2) AS gap_pct FROM figures""",
     "missing_summary": """
 SELECT 1 AS position, 'run_date' AS metric, strftime(current_date, '%Y-%m-%d') AS value

@@ -1,8 +1,8 @@
 """Registered queries by name; each takes ``(spark, sf_dir)`` and gives a DataFrame.
 
 Sums of floating-point money depend on the order of addition in their last digits, so
-results are rounded: dollars to the four decimals that prices times discounts have, euros
-to two, francs to none, and totals over many activities to one.
+results are rounded to digits at which that does not show and no value is a tie: dollars of
+the first source have three decimals once weighted, those of the second four.
 """
 
 from __future__ import annotations
@@ -36,6 +36,11 @@ def rounded(df: DataFrame, *names: str, digits: int | None = None) -> DataFrame:
     })
 
 
+def rounded_totals(df: DataFrame, *names: str) -> DataFrame:
+    """Totals over many activities, by currency at the end of the name."""
+    return df.withColumns({n: F.round(F.col(n), {"usd": 3, "eur": 1, "kmf": 0}[n[-3:]]) for n in names})
+
+
 # ------------------------------------------------------------------ aid: reports and dataset
 
 def _amounts_by_funder(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,14 +64,14 @@ def _amounts_by_funder(spark: SparkSession, sf_dir: str) -> DataFrame:
 def donor_top4_autres(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spend of the four largest funders and of all others, over the whole registry."""
     report = aid.donor_report(_amounts_by_funder(spark, sf_dir))
-    return rounded(report, "montant_verse_usd", "montant_verse_eur", "montant_verse_kmf", digits=1)
+    return rounded_totals(report, "montant_verse_usd", "montant_verse_eur", "montant_verse_kmf")
 
 
 @query
 def donor_report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = _amounts_by_funder(spark, sf_dir)
     totals = aid.report_totals(aid.donor_report(published), published)
-    return rounded(totals, "total_usd", "total_eur", "total_kmf", digits=1)
+    return rounded_totals(totals, "total_usd", "total_eur", "total_kmf")
 
 
 @query
@@ -79,13 +84,13 @@ def activity_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def donor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = aid.donor_summary(standins.aid_tables(spark, sf_dir))
-    return rounded(summary, "total_usd", "total_eur", "total_kmf", digits=1)
+    return rounded_totals(summary, "total_usd", "total_eur", "total_kmf")
 
 
 @query
 def donor_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = aid.donor_totals(aid.donor_summary(standins.aid_tables(spark, sf_dir)))
-    return rounded(totals, *totals.columns, digits=1)
+    return rounded_totals(totals, *totals.columns)
 
 
 @query
@@ -225,7 +230,7 @@ def single_country_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def commitment_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = aid.commitment_total(standins.aid_tables(spark, sf_dir))
-    return rounded(total, "commitment_usd", digits=1)
+    return rounded_totals(total, "commitment_usd")
 
 
 @query
@@ -272,7 +277,7 @@ def _both(spark: SparkSession, sf_dir: str):
 @query
 def total_gap_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     gap = reconcile.total_gap(*_both(spark, sf_dir))
-    return rounded(rounded(gap, "it_usd", "dp_usd", "gap_usd", digits=1), "gap_pct")
+    return rounded(rounded_totals(rounded(gap, "it_usd", "gap_usd", digits=1), "dp_usd"), "gap_pct")
 
 
 @query
@@ -284,7 +289,7 @@ def total_check_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def year_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = reconcile.year_gap(*_both(spark, sf_dir))
-    return rounded(rounded(years, "it_usd", "dp_usd", "gap_usd", digits=1), "gap_pct")
+    return rounded(rounded_totals(rounded(years, "it_usd", "gap_usd", digits=1), "dp_usd"), "gap_pct")
 
 
 @query
@@ -362,7 +367,7 @@ def missing_by_publisher(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def missing_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     figures = reconcile.missing_figures(reconcile.tracked(*_both(spark, sf_dir)))
-    return rounded(figures, "present_usd", "missing_usd", "all_usd", digits=1)
+    return rounded_totals(figures, "present_usd", "missing_usd", "all_usd")
 
 
 @query
