@@ -541,10 +541,11 @@ UNION ALL SELECT s_name, s_nationkey, NULL FROM supplier""",
     "page_offset": """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 50""",
     "object_envelope_rows": """
-SELECT aid, country_code, country_percent FROM a_country WHERE aid::bigint // 1000 <> 3""",
+SELECT aid, country_code, country_percent FROM a_country
+WHERE aid NOT IN (SELECT o_orderkey::varchar FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')""",
     "array_envelope_rows": """
 SELECT 'L' || o_orderkey::varchar AS _link_activity, NULL::varchar AS value, o_orderpriority AS value_currency,
-  o_orderkey::varchar AS iatiidentifier FROM orders WHERE o_orderkey // 1000 <> 3""",
+  o_orderkey::varchar AS iatiidentifier FROM orders WHERE o_orderpriority <> '1-URGENT'""",
     "xml_series_flatten": """
 SELECT flux, section_code, 'A' AS "FREQ", partner AS "PARTNER", annee::varchar AS "TIME_PERIOD",
   thousands::decimal(24, 5)::varchar AS "OBS_VALUE" FROM t_obs WHERE thousands IS NOT NULL""",

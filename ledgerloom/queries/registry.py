@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom import fixed_values as fixed, schemas
 from ledgerloom.functions import clean, money, rules
@@ -442,44 +442,31 @@ def page_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.page(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], size=50, number=1)
 
 
-PAGE_ROWS = 1000
-
-
 @query
 def object_envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country rows packed as pages of objects and read back; refused pages hold no rows.
-
-    A page holds the orders of one thousand consecutive keys.
-    """
-    page = F.floor(F.col("ord") / (2 * PAGE_ROWS))
-    body = F.struct("aid", "country_code", "country_percent")
-    rows = standins.country(spark, sf_dir)
-    documents = rows.groupBy(page.alias("page")).agg(F.collect_list(body).alias("rows")).select(
-        "page",
-        F.when(F.col("page") == 3, F.to_json(F.struct(F.lit("too many rows").alias("error"))))
-        .otherwise(F.to_json(F.struct("rows"))).alias("body"),
-    )
+    """Country rows as one answer per order and read back; refused answers hold no rows."""
+    documents = standins.table(spark, sf_dir, "orders").selectExpr(f"""
+        CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
+          THEN to_json(named_struct('error', 'time-out'))
+          ELSE to_json(named_struct('rows', {standins.COUNTRY_ROWS})) END AS body""")
     schema = envelopes.object_envelope(
-        envelopes.T.StructType([schemas.COUNTRY[n] for n in ("aid", "country_code", "country_percent")])
+        T.StructType([schemas.COUNTRY[n] for n in ("aid", "country_code", "country_percent")])
     )
-    parsed = documents.select(F.from_json("body", schema).alias("doc"))
-    return envelopes.object_rows(parsed, "doc")
+    return envelopes.object_rows(documents.select(F.from_json("body", schema).alias("doc")), "doc")
 
 
 @query
 def array_envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Budget rows packed as pages of arrays with named columns and read back."""
-    orders = standins.table(spark, sf_dir, "orders")
-    page = F.floor(F.col("o_orderkey") / PAGE_ROWS)
-    values = F.array(
-        F.col("o_orderkey").cast("string"), F.col("o_orderpriority"), F.concat(F.lit("L"), F.col("o_orderkey"))
-    )
-    documents = orders.groupBy(page.alias("page")).agg(F.collect_list(values).alias("rows")).select(
-        F.to_json(F.struct(
-            (F.col("page") != 3).alias("ok"),
-            F.lit(["iatiidentifier", "value_currency", "_link_activity"]).alias("columns"), "rows",
-        )).alias("body")
-    )
+    """Budget rows as one answer per order, with columns in changing order, and read back."""
+    link, identifier = "concat('L', o_orderkey)", "cast(o_orderkey AS string)"
+    documents = standins.table(spark, sf_dir, "orders").selectExpr(f"""
+        to_json(CASE WHEN o_orderstatus = 'O'
+          THEN named_struct('ok', o_orderpriority <> '1-URGENT',
+            'columns', array('iatiidentifier', 'value_currency', '_link_activity'),
+            'rows', array(array({identifier}, o_orderpriority, {link})))
+          ELSE named_struct('ok', o_orderpriority <> '1-URGENT',
+            'columns', array('_link_activity', 'iatiidentifier', 'value_currency'),
+            'rows', array(array({link}, {identifier}, o_orderpriority))) END) AS body""")
     parsed = documents.select(F.from_json("body", envelopes.ARRAY_ENVELOPE).alias("doc"))
     return envelopes.array_rows(parsed, schemas.T_BUDGET, "doc", on_error="skip")
 

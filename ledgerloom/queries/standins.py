@@ -85,13 +85,16 @@ def translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the country rows of an order: one of the country, and one of another for shared orders
+COUNTRY_ROWS = f"""transform(
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN array('KM', 'XX') ELSE array('KM') END,
+  code -> named_struct('aid', cast(o_orderkey AS string), 'country_code', code,
+    'country_percent', CASE WHEN code = 'XX' THEN '60' ELSE {SHARE} END))"""
+
+
 def country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row of the country per order, and one of another country for shared orders."""
-    here = f"named_struct('country_code', 'KM', 'country_percent', {SHARE})"
-    there = "named_struct('country_code', 'XX', 'country_percent', '60')"
-    rows = f"CASE WHEN o_orderpriority = '3-MEDIUM' THEN array({here}, {there}) ELSE array({here}) END"
-    return table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"posexplode({rows})").selectExpr(
-        "o_orderkey * 2 + pos AS ord", "cast(o_orderkey AS string) AS aid", "col.country_code", "col.country_percent"
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"posexplode({COUNTRY_ROWS})").selectExpr(
+        "o_orderkey * 2 + pos AS ord", "col.aid", "col.country_code", "col.country_percent"
     )
 
 

@@ -28,6 +28,14 @@ def documented(df: DataFrame, block: str) -> DataFrame:
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+    """Write a dataset.
+
+    Before a partitioned write the rows are rebalanced by the partition columns: AQE puts
+    small folders together in one task and splits a large one over several, so there are
+    neither many small files nor one task with a third of the rows.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "true")
