@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, exact_dedup, language, mixing, packing, token_files
+from ledgerloom.llm import chat, exact_dedup, fingerprints, language, mixing, packing, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_fingerprints": op6_fingerprints,
     "op7_language": op7_language,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
