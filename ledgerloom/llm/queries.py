@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, exact_dedup, fingerprints, language, mixing, packing, token_files
+from ledgerloom.llm import chat, exact_dedup, fingerprints, language, mixing, near_dedup, packing, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_copies(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_and_read(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op5_exact_dedup": op5_exact_dedup,
