@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, exact_dedup, fingerprints, language, mixing, near_dedup, packing, token_files
+from ledgerloom.llm import chat, exact_dedup, fingerprints, language, mixing, near_dedup, packing, repeats, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_report(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
+    "op4_repeats": op4_repeats,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_language": op7_language,
