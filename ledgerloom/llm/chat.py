@@ -77,12 +77,13 @@ def _reach(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         above = reached.select(
             F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("depth").alias("d"), F.col("score").alias("s")
         )
-        reached = cut(
-            reached.join(above, (F.col("up") == F.col("n")) & F.col("tree").eqNullSafe(F.col("t")), "left").select(
-                "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
-                (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score"),
-            )
+        further = reached.where("up IS NOT NULL").join(
+            above, (F.col("up") == F.col("n")) & F.col("tree").eqNullSafe(F.col("t")), "left"
+        ).select(
+            "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
+            (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score"),
         )
+        reached = cut(reached.where("up IS NULL").unionByName(further))
     return jumps, reached.where("up IS NULL").drop("up")
 
 
