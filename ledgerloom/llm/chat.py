@@ -70,8 +70,8 @@ def _reach(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     reached, jumps, open_before = cut(links), [], None
     while True:
         still_open = reached.where("up IS NOT NULL").count()
-        if not still_open or still_open == open_before and len(jumps) > 40:
-            break
+        if not still_open or still_open == open_before:
+            break  # a row at any depth has ancestors at all smaller ones: if none arrives, the rest go round in cycles
         open_before = still_open
         jumps.append(reached.where("up IS NOT NULL").select("tree", "node", "up"))
         above = reached.select(
