@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import cut, in_slices, raw_bytes, stored, text_or_empty
 
 SPAN, GRAM, GROUP = 400, 64, 1000
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 256 << 10
 
 _U = np.uint64
 _M = (1 << 64) - 1
