@@ -8,8 +8,8 @@
    square. Links are checked on the full sets, both texts read again.
 4. Linked classes are joined (large star, small star). In a bucket that still holds several components the star did not
    tell all: there the pairs across components are tried (in buckets of up to SMALL members all of them,
-   in larger ones a star around another random member in each round), until no pair is left to try or, for large
-   buckets, LARGE_ROUNDS rounds have passed. A pair linked through others is never tried.
+   in larger ones stars around CENTRES random members, others in each round), until a round finds no new link.
+   A pair linked through others is never tried.
 
 A pair at the threshold shares no bucket with a probability of about 5 in a million; such a pair shares about ten
 buckets, and small ones among them are told in full.
@@ -23,6 +23,7 @@ one. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,8 @@ from ledgerloom.llm.common import cut, in_slices, raw_bytes, stored, text_or_emp
 WORDS = 5
 PERCENT = 75
 BINS, BANDS = 128, 32
-SMALL, LARGE_ROUNDS = 40, 6
-SLICE_BYTES = 1 << 20
+SMALL, CENTRES = 40, 3
+SLICE_BYTES = 512 << 10
 
 _U = np.uint64
 _RANDOM = np.random.Generator(np.random.PCG64(5))
@@ -228,20 +229,24 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     return members.join(centre, "bucket").select(F.col("node").alias("u"), "v").where("u <> v").distinct()
 
 
-def _more_pairs(members: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs across components in buckets that hold several: all pairs of small buckets, a star in large ones."""
+def _more_pairs(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """Pairs across components in buckets that hold several: all pairs of small buckets, stars in large ones."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = cut(placed.groupBy("bucket").agg(
         F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
-        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node"), F.col("root"))).alias("centre"),
+        F.array(*[
+            F.min(F.struct(F.xxhash64("node", F.lit(CENTRES * turn + k)).alias("h"), F.col("node"), F.col("root"))) for k in range(CENTRES)
+        ]).alias("centres"),
     ).where("low <> high"))
-    open_members = placed.join(several.select("bucket", "size", "centre"), "bucket")
+    open_members = placed.join(several.select("bucket", "size", "centres"), "bucket")
     small = open_members.where(F.col("size") <= SMALL).groupBy("bucket").agg(F.collect_list(F.struct("node", "root")).alias("all"))
     small = small.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
     small = small.where("x.node < y.node AND x.root <> y.root").select(F.col("y.node").alias("u"), F.col("x.node").alias("v"))
-    large = open_members.where((F.col("size") > SMALL) & (F.col("root") != F.col("centre.root")))
-    large = large.select(F.greatest("node", "centre.node").alias("u"), F.least("node", "centre.node").alias("v"))
-    return small.distinct(), large.distinct()
+    large = open_members.where(F.col("size") > SMALL).select("node", "root", F.explode("centres").alias("centre"))
+    large = large.where("root <> centre.root").select(
+        F.greatest("node", "centre.node").alias("u"), F.least("node", "centre.node").alias("v")
+    )
+    return small.unionByName(large).distinct()
 
 
 def _classes(rows: DataFrame) -> DataFrame:
@@ -267,16 +272,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     links = cut(confirmed(pairs, texts))
     tried = pairs
     roots = cut(components(links))
-    for turn in range(1, LARGE_ROUNDS + 1):
-        small, large = _more_pairs(members, roots, turn)
-        pairs = cut(small.unionByName(large).distinct().join(tried, ["u", "v"], "left_anti"))
-        if pairs.isEmpty():
-            break
+    for turn in count(1):
+        pairs = cut(_more_pairs(members, roots, turn).join(tried, ["u", "v"], "left_anti"))
         found = cut(confirmed(pairs, texts))
-        tried = cut(tried.unionByName(pairs))
-        if not found.isEmpty():
-            links = cut(links.unionByName(found))
-            roots = cut(components(links))
+        if found.isEmpty():
+            break
+        tried = tried.unionByName(pairs)
+        known = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+        roots = cut(components(known.unionByName(found)))
 
     named = classes.select("node", "best").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min("best").alias("stays"))
