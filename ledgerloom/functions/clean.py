@@ -18,9 +18,13 @@ def number(c: Column) -> Column:
 
     Java reads a type suffix ("12d", "3.5f") as part of a number; here it is unreadable.
     """
+    return F.nanvl(_plain_double(c), F.lit(None).cast("double"))
+
+
+def _plain_double(c: Column) -> Column:
+    """Number of a text without a type suffix; null where it is none."""
     text = c.cast("string")
-    value = F.when(~text.rlike(r"[0-9.]\s*[dDfF]\s*$"), text.try_cast("double"))
-    return F.nanvl(value, F.lit(None).cast("double"))
+    return F.when(~text.rlike(r"[0-9.]\s*[dDfF]\s*$"), text.try_cast("double"))
 
 
 def number_of(df: DataFrame, name: str) -> Column:
@@ -47,7 +51,7 @@ def strict_int(c: Column, name: str, default: int | None = None) -> Column:
 
 
 def _strict(c: Column, kind: str, name: str) -> Column:
-    value = c.try_cast(kind)
+    value = _plain_double(c) if kind == "double" else c.try_cast(kind)
     failure = F.raise_error(F.concat(F.lit(f"unreadable {name}: "), c.cast("string")))
     return F.when(c.isNull() | value.isNotNull(), value).otherwise(failure.cast(kind))
 

@@ -120,9 +120,11 @@ def reconcile_job(spark: SparkSession, landed: str, out: str) -> None:
     write(reconcile.spot_counts(spot), f"{base}/spot_counts")
     sets = stored(reconcile.id_sets(first, second), f"{base}/identifiers")
     write(reconcile.id_verdict(sets), f"{base}/identifier_verdict")
-    write(reconcile.exclusive_value(first, second), f"{base}/only_first")
+    value = stored(reconcile.exclusive_value(first, second), f"{base}/only_first")
+    write(reconcile.exclusive_total(value), f"{base}/only_first_total")
     write(reconcile.exclusive_second(first, second), f"{base}/only_second")
     shared = stored(reconcile.shared_gaps(first, second), f"{base}/shared")
+    write(reconcile.shared_top(shared), f"{base}/shared_top")
     write(reconcile.shared_dispersion(shared), f"{base}/shared_dispersion")
 
 
@@ -140,8 +142,6 @@ def registry_job(spark: SparkSession, landed: str, out: str) -> None:
     )
     status = stored(status, f"{out}/registry/status")
     write(reconcile.registry_counts(status), f"{out}/registry/counts")
-    write(reconcile.registry_sample(status, "found", 30), f"{out}/registry/found_sample")
-    write(reconcile.registry_sample(status, "not_found", 20), f"{out}/registry/not_found_sample")
 
 
 def releases_job(spark: SparkSession, landed: str, out: str) -> None:

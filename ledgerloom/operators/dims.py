@@ -23,13 +23,13 @@ def lookup(
     key: Column | str,
     out: str,
     default: Column | str | None = None,
-    fixed_size: bool = True,
+    fixed_size: bool = False,
 ) -> DataFrame:
     """Add the label of ``key`` as column ``out``.
 
     Without a match: null, a constant text, or the given column (such as the code
-    itself). The dim is broadcast when it is one of the fixed code lists; a code list
-    that was read from files has no such bound, so its join is left to the optimizer.
+    itself). The dim is broadcast when the caller says that it is one of the fixed code lists; a
+    code list that was read from files has no such bound, so its join is left to the optimizer.
     """
     key = F.col(key) if isinstance(key, str) else key
     side = dim.select(F.col("code").alias("_code"), F.col("label").alias("_label"))

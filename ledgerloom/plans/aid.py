@@ -87,7 +87,7 @@ def with_funder(df: DataFrame, match: str = "substring") -> DataFrame:
     df = df.withColumn("pays_bailleur", country)
     df = df.withColumn("type_bailleur", rules.funder_type(F.col("pays_bailleur")))
     regions = code_dim(df.sparkSession, fixed.DONOR_REGIONS)
-    return lookup(df, regions, "pays_bailleur", "region_bailleur", rules.OTHER)
+    return lookup(df, regions, "pays_bailleur", "region_bailleur", rules.OTHER, fixed_size=True)
 
 
 def with_status(df: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def with_status(df: DataFrame) -> DataFrame:
     statuses = code_dim(df.sparkSession, fixed.ACTIVITY_STATUS)
     statuses = statuses.withColumn("code", F.col("code").cast("double"))
     df = df.withColumn("status_code", clean.number_of(df, "status_code"))
-    return lookup(df, statuses, "status_code", "status_label")
+    return lookup(df, statuses, "status_code", "status_label", fixed_size=True)
 
 
 def activities(tables: AidTables, code: str = fixed.COUNTRY_CODE) -> DataFrame:
@@ -299,21 +299,10 @@ def report_totals(report: DataFrame, published: DataFrame) -> DataFrame:
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
-STATUS_COUNT_SQL = """
-SELECT act.status_code, count(DISTINCT act.aid) AS n_activities
-FROM {act} AS act
-JOIN {country} AS country ON country.aid = act.aid
-WHERE country.country_code = :code
-  AND (SELECT count(*) FROM {country} AS c2 WHERE c2.aid = act.aid) = 1
-GROUP BY act.status_code
-"""
-
-
 def status_counts(tables: AidTables, code: str = fixed.COUNTRY_CODE) -> DataFrame:
-    """Activities by status for sole recipients, as SQL text: Catalyst turns the
-    correlated count into a grouping and a join."""
-    spark = tables.act.sparkSession
-    return spark.sql(STATUS_COUNT_SQL, args={"code": code}, act=tables.act, country=tables.country)
+    """Activities by status for sole recipients; one grouping of the country rows finds those."""
+    kept = restricted(tables.act, single_country.by_sole_recipient(tables.country, code), "aid")
+    return kept.groupBy("status_code").agg(F.count_distinct("aid").alias("n_activities"))
 
 
 def sector_activity_count(

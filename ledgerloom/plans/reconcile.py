@@ -154,7 +154,7 @@ def year_dispersion(years: DataFrame, floor: float = 1e5) -> DataFrame:
 def _with_first_spend(top: DataFrame, key: str, trans: DataFrame) -> DataFrame:
     """A few rows with their spend in the first source as ``dp_usd``, 0 without any.
 
-    The rows are broadcast to the transactions, which are not shuffled for them, and a
+    Their limit tells the optimizer how few they are; a
     zero amount per row keeps those without transactions. Both uses of ``top`` need the
     same columns, so that Spark computes it once.
     """
@@ -162,7 +162,7 @@ def _with_first_spend(top: DataFrame, key: str, trans: DataFrame) -> DataFrame:
     top = top.withColumn("_row", F.row_number().over(Window.orderBy(*top.columns)))
     usd = clean.number_of(trans, "trans_usd").alias("_usd")
     spend = trans.where(F.col("trans_code").isin(fixed.SPEND_CODES)).select(F.col("aid").alias("_aid"), usd)
-    found = spend.join(F.broadcast(top), F.col("_aid") == F.col(key)).select(*top.columns, "_usd")
+    found = spend.join(top, F.col("_aid") == F.col(key)).select(*top.columns, "_usd")
     nothing = top.withColumn("_usd", F.lit(0.0))
     return found.unionByName(nothing).groupBy(*top.columns).agg(
         total(F.col("_usd")).alias("dp_usd")
@@ -174,13 +174,13 @@ def spot_check(
 ) -> DataFrame:
     """The n largest activities of the second source, looked up in the first.
 
-    Keys and names of n activities at most travel, as broadcasts.
+    Keys and names of n activities at most travel.
     """
     spend = restricted(
         second_spend(second.breakdown, "_link_activity", code), second_keys(second, code), "_link_activity"
     )
     top = largest(spend, n, "it_usd", "_link_activity")
-    links = F.broadcast(top.select(F.col("_link_activity").alias("_top")))
+    links = top.select(F.col("_link_activity").alias("_top"))
     names = second.activity.join(links, F.col("_link") == F.col("_top"), "left_semi").select(
         F.col("_link").alias("_link_activity"),
         F.nullif(clean.stripped(F.col("iatiidentifier")), F.lit("")).alias("identifier"),
@@ -220,64 +220,63 @@ def id_verdict(sets: DataFrame) -> DataFrame:
     return counts.withColumn("verdict", gaps.set_verdict(F.col("only_first"), F.col("only_second")))
 
 
-def exclusive_value(
-    first: AidTables, second: SecondTables, n: int = 20, code: str = fixed.COUNTRY_CODE
-) -> DataFrame:
-    """Spend of the first n activities that only the first source has, largest first,
-    next to the total of those shown."""
-    acts = first_activities(first, code).withColumn("_id", clean.stripped(F.col("aid")))
+def exclusive_value(first: AidTables, second: SecondTables, code: str = fixed.COUNTRY_CODE) -> DataFrame:
+    """Spend of every activity that only the first source has, largest first."""
+    acts = first_activities(first, code).select("aid").distinct().withColumn("_id", clean.stripped(F.col("aid")))
     alone = excluded(acts.where("_id IS NOT NULL"), second_identifiers(second, code), "_id", "identifier")
-    shown = F.broadcast(alone.orderBy("ord", "aid").limit(n).select(F.col("aid").alias("_aid")))
-    spend = first_spend(first.trans.join(shown, F.col("aid") == F.col("_aid"), "left_semi"))
-    # n rows at most
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return spend.withColumnRenamed("dp_usd", "total_usd").withColumn(
-        "shown_total_usd", F.sum("total_usd").over(everything)
-    ).orderBy(F.col("total_usd").desc(), "aid")
+    spend = restricted(first_spend(first.trans), alone, "aid")
+    return spend.withColumnRenamed("dp_usd", "total_usd").orderBy(F.col("total_usd").desc(), "aid")
 
 
-def exclusive_second(
-    first: AidTables, second: SecondTables, n: int = 20, code: str = fixed.COUNTRY_CODE
-) -> DataFrame:
-    """The first n activities that only the second source has, with their publisher."""
+def exclusive_total(value: DataFrame) -> DataFrame:
+    """How many activities :func:`exclusive_value` lists, and their total."""
+    return value.agg(F.count(F.lit(1)).alias("n_activities"), total(F.col("total_usd")).alias("total_usd"))
+
+
+def exclusive_second(first: AidTables, second: SecondTables, code: str = fixed.COUNTRY_CODE) -> DataFrame:
+    """Every activity that only the second source has, with its publisher."""
     acts = second_activities(second, code).withColumn("_id", clean.stripped(F.col("iatiidentifier")))
     alone = excluded(acts.where("_id IS NOT NULL"), first_identifiers(first, code), "_id", "identifier")
-    return alone.orderBy("_link").limit(n).select(
+    return alone.orderBy("_link").select(
         F.col("iatiidentifier").alias("identifier"), F.col("reportingorg_narrative").alias("reporter")
     )
 
 
-def shared_gaps(
-    first: AidTables, second: SecondTables, n: int = 20, code: str = fixed.COUNTRY_CODE
-) -> DataFrame:
-    """The n largest activities that both sources have, with their gap.
+def shared_gaps(first: AidTables, second: SecondTables, code: str = fixed.COUNTRY_CODE) -> DataFrame:
+    """Every activity that both sources have, with its gap.
 
-    Membership compares identifiers without blanks; amounts are matched on the identifier
-    as it is stored, so one that carries blanks finds no amount.
+    Identifiers are compared, and amounts matched, without blanks around them. Both sides are
+    added up per identifier before they meet.
     """
     spend = second.breakdown.where(is_spend(code)).groupBy("_link_activity", "iatiidentifier").agg(
         total(clean.number_of(second.breakdown, "value_usd")).alias("it_usd")
     )
-    per_identifier = grouped(
-        restricted(spend, second_keys(second, code), "_link_activity"), ["iatiidentifier"],
-        total(F.col("it_usd")).alias("it_usd"),
-    ).withColumn("_id", clean.stripped(F.col("iatiidentifier")))
-    shared = restricted(
-        restricted(per_identifier, second_identifiers(second, code), "_id", "identifier"),
-        first_identifiers(first, code), "_id", "identifier",
-    ).drop("_id")
-    top = largest(shared, n, "it_usd", "iatiidentifier")
-    joined = _with_first_spend(top, "iatiidentifier", first.trans).withColumns({
+    it = grouped(
+        restricted(spend, second_keys(second, code), "_link_activity")
+        .withColumn("_id", clean.stripped(F.col("iatiidentifier"))),
+        ["_id"], total(F.col("it_usd")).alias("it_usd"),
+    ).withColumnRenamed("_id", "iatiidentifier")
+    both = id_sets(first, second, code).where("in_first AND in_second")
+    dp = grouped(
+        first_spend(first.trans).withColumn("_id", clean.stripped(F.col("aid"))),
+        ["_id"], total(F.col("dp_usd")).alias("dp_usd"),
+    ).withColumnRenamed("_id", "iatiidentifier")
+    joined = with_measures(restricted(it, both, "iatiidentifier", "identifier"), dp, "iatiidentifier").withColumns({
         "gap_usd": F.col("it_usd") - F.col("dp_usd"),
         "gap_pct": gaps.gap_percent(F.col("it_usd"), F.col("dp_usd")),
     })
-    return joined.withColumn("flagged", gaps.exceeds(F.col("gap_pct"), 20)).orderBy(
+    return joined.withColumn("flagged", gaps.exceeds(F.col("gap_pct"), 20))
+
+
+def shared_top(shared: DataFrame, n: int = 20) -> DataFrame:
+    """The n largest of the shared activities."""
+    return largest(shared, n, "it_usd", "iatiidentifier").orderBy(
         F.col("it_usd").desc_nulls_last(), "iatiidentifier"
     )
 
 
 def shared_dispersion(shared: DataFrame) -> DataFrame:
-    """Median and spread of the gaps of the shared activities."""
+    """Median and spread of the gaps of all shared activities."""
     spread = gap_spread(shared, "gap_pct")
     return spread.withColumn(
         "verdict", F.when(F.col("spread") < 5, "uniform").otherwise("variable")
@@ -358,8 +357,12 @@ def registry_status(
 ) -> DataFrame:
     """Missing identifiers in order, with what a registry snapshot knows about them.
 
-    Where an identifier has several publishers the last one in arrival order is shown.
+    Where an identifier has several publishers the last one in arrival order is shown. Repeated
+    lines of the snapshot count once: the most occurrences, checked if any line says so.
     """
+    registry = registry.groupBy("identifier").agg(
+        F.max("occurrences").alias("occurrences"), F.bool_or("checked").alias("checked")
+    )
     acts = first_activities(first, code)
     publishers = (
         acts.select(clean.stripped(F.col("aid")).alias("identifier"), "reporting", "ord")
@@ -371,7 +374,7 @@ def registry_status(
         missing, registry, "identifier", "identifier",
         found=F.col("occurrences").isNotNull(), asked=F.coalesce("checked", F.lit(False)),
     )
-    publisher = clean.shortened(clean.stripped(F.coalesce("reporting", F.lit(""))), 40)
+    publisher = clean.stripped(F.coalesce("reporting", F.lit("")))
     return status.select(
         "identifier", "registry_status",
         F.when(F.col("registry_status") == "found", F.col("occurrences")).alias("occurrences"),
@@ -382,7 +385,3 @@ def registry_status(
 def registry_counts(status: DataFrame) -> DataFrame:
     return status.groupBy("registry_status").agg(F.count(F.lit(1)).alias("n")).orderBy("registry_status")
 
-
-def registry_sample(status: DataFrame, kind: str, n: int) -> DataFrame:
-    """The first n identifiers of one outcome."""
-    return status.where(F.col("registry_status") == kind).orderBy("identifier").limit(n)

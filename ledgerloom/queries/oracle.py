@@ -89,20 +89,20 @@ SELECT (l_linenumber::bigint << 40) + l_suppkey AS ord, l_orderkey::varchar AS a
   CASE WHEN s_nationkey > 0 THEN s_name END AS name,
   s_nationkey::varchar AS lat, (-s_nationkey)::varchar AS lon
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
-    "b_orders": "SELECT * FROM orders WHERE o_orderdate < timestamp '2001-01-01'",
     "b_activity": f"""
-SELECT 'L' || o_orderkey::varchar AS link, {IDENTIFIER.format('o_orderkey')} AS identifier,
+SELECT 'L' || o_orderkey::varchar AS link, CASE WHEN o_orderdate < timestamp '2001-01-01'
+    THEN {IDENTIFIER.format('o_orderkey')} ELSE 'NEW-' || o_orderkey::varchar END AS identifier,
   'Order ' || o_orderkey::varchar AS title, c_mktsegment AS reporting,
   CASE o_orderstatus WHEN 'O' THEN 'Implementation' WHEN 'F' THEN 'Closed' END AS status_label,
   strftime(o_orderdate, '%Y-%m-%d') AS date_debut
-FROM b_orders JOIN customer ON o_custkey = c_custkey
+FROM orders JOIN customer ON o_custkey = c_custkey
 UNION ALL
 SELECT 'S' || s_suppkey::varchar, 'EXT-' || s_suppkey::varchar, s_name, s_name, 'Implementation', '2000-01-01'
 FROM supplier""",
     "b_recipient": f"""
-SELECT 'L' || o_orderkey::varchar AS link, 'KM' AS code, {SHARE} AS percentage FROM b_orders
-UNION ALL SELECT 'L' || o_orderkey::varchar, 'XX', '60' FROM b_orders WHERE o_orderpriority = '3-MEDIUM'
-UNION ALL SELECT 'L' || o_orderkey::varchar, 'KM', {SHARE} FROM b_orders
+SELECT 'L' || o_orderkey::varchar AS link, 'KM' AS code, {SHARE} AS percentage FROM orders
+UNION ALL SELECT 'L' || o_orderkey::varchar, 'XX', '60' FROM orders WHERE o_orderpriority = '3-MEDIUM'
+UNION ALL SELECT 'L' || o_orderkey::varchar, 'KM', {SHARE} FROM orders
   WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F'
 UNION ALL SELECT 'S' || s_suppkey::varchar, 'KM', NULL FROM supplier""",
     "b_trans": f"""
@@ -157,16 +157,14 @@ FROM (SELECT link, sum(usd) AS it_usd FROM b_spend WHERE link IN (SELECT link FR
       GROUP BY link ORDER BY it_usd DESC, link LIMIT 10) t
 LEFT JOIN b_activity b ON b.link = t.link
 LEFT JOIN a_spend s ON s.aid = trim(b.identifier)""",
-    "shared": """
+    "shared_all": """
 SELECT t.identifier AS iatiidentifier, t.it_usd, coalesce(s.usd, 0) AS dp_usd,
   t.it_usd - coalesce(s.usd, 0) AS gap_usd,
   (t.it_usd - coalesce(s.usd, 0)) / nullif(coalesce(s.usd, 0), 0) * 100 AS gap_pct
-FROM (SELECT identifier, sum(usd) AS it_usd FROM b_spend WHERE link IN (SELECT link FROM b_keys)
-      GROUP BY identifier
-      HAVING trim(identifier) IN (SELECT identifier FROM a_ids)
-         AND trim(identifier) IN (SELECT identifier FROM b_ids)
-      ORDER BY it_usd DESC, identifier LIMIT 20) t
-LEFT JOIN a_spend s ON s.aid = t.identifier""",
+FROM (SELECT trim(identifier) AS identifier, sum(usd) AS it_usd FROM b_spend WHERE link IN (SELECT link FROM b_keys)
+      GROUP BY trim(identifier)) t
+LEFT JOIN (SELECT trim(aid) AS identifier, sum(usd) AS usd FROM a_spend GROUP BY trim(aid)) s ON s.identifier = t.identifier
+WHERE t.identifier IN (SELECT identifier FROM a_ids) AND t.identifier IN (SELECT identifier FROM b_ids)""",
     "tracked": """
 SELECT a.*, coalesce(s.d, 0) AS d, coalesce(s.e, 0) AS e, coalesce(s.de, 0) AS de,
   trim(a.aid) IN (SELECT identifier FROM b_ids) AS known
@@ -185,7 +183,7 @@ SELECT count(*) AS n_activities, count(*) FILTER (known) AS n_present, count(*)
 SELECT m.identifier,
   CASE WHEN o_orderpriority IS NULL OR o_orderpriority = '4-NOT SPECIFIED' THEN 'unanswered'
        WHEN o_orderpriority <> '2-HIGH' THEN 'found' ELSE 'not_found' END AS registry_status,
-  left(trim(coalesce(a.reporting, '')), 40) AS publisher
+  trim(coalesce(a.reporting, '')) AS publisher
 FROM (SELECT identifier FROM a_ids EXCEPT SELECT identifier FROM b_ids) m
 JOIN a_act a ON a.aid = m.identifier
 LEFT JOIN orders ON o_orderkey::varchar = m.identifier""",
@@ -413,9 +411,7 @@ SELECT aid, string_agg(v || '_' || l, ', ' ORDER BY o, v) AS sectors,
   regexp_matches(arg_min(v, (o, v)), '^[0-9]') AS numeric_code
 FROM (SELECT aid, v, l, min(ord) AS o FROM sec_rank GROUP BY aid, v, l) GROUP BY aid""",
     "single_country_subquery": """
-SELECT status_code, count(DISTINCT a.aid) AS n_activities FROM a_act a JOIN a_country c ON c.aid = a.aid
-WHERE c.country_code = 'KM' AND (SELECT count(*) FROM a_country c2 WHERE c2.aid = a.aid) = 1
-GROUP BY status_code""",
+SELECT status_code, count(DISTINCT aid) AS n_activities FROM a_act SEMI JOIN sole_keys USING (aid) GROUP BY status_code""",
     "commitment_total": """
 SELECT round(sum(coalesce(trans_usd, 0)), 3) AS commitment_usd, count(DISTINCT a.aid) AS n_activities
 FROM a_act a JOIN a_trans t ON t.aid = a.aid
@@ -480,18 +476,22 @@ SELECT identifier, 'only_first' AS part FROM (SELECT identifier FROM a_ids EXCEP
 UNION ALL SELECT identifier, 'only_second' FROM (SELECT identifier FROM b_ids EXCEPT SELECT identifier FROM a_ids)
 UNION ALL SELECT identifier, 'in_both' FROM (SELECT identifier FROM a_ids INTERSECT SELECT identifier FROM b_ids)""",
     "exclusive_value": """
-SELECT aid, round(usd, 4) AS total_usd, round(sum(usd) OVER (), 4) AS shown_total_usd
-FROM (SELECT aid FROM a_act WHERE aid IN (SELECT aid FROM a_keys)
-        AND trim(aid) NOT IN (SELECT identifier FROM b_ids) ORDER BY ord LIMIT 20) JOIN a_spend USING (aid)""",
+SELECT s.aid, round(s.usd, 4) AS total_usd FROM a_spend s
+WHERE s.aid IN (SELECT a.aid FROM a_act a WHERE a.aid IN (SELECT aid FROM a_keys)
+  AND trim(a.aid) NOT IN (SELECT identifier FROM b_ids))""",
+    "exclusive_total": """
+SELECT count(*) AS n_activities, round(sum(s.usd), 3) AS total_usd FROM a_spend s
+WHERE s.aid IN (SELECT a.aid FROM a_act a WHERE a.aid IN (SELECT aid FROM a_keys)
+  AND trim(a.aid) NOT IN (SELECT identifier FROM b_ids))""",
     "exclusive_second": """
 SELECT identifier, reporting AS reporter FROM b_activity WHERE link IN (SELECT link FROM b_keys)
-  AND trim(identifier) NOT IN (SELECT identifier FROM a_ids) ORDER BY link LIMIT 20""",
+  AND trim(identifier) NOT IN (SELECT identifier FROM a_ids)""",
     "shared_top20_gap": f"""
 SELECT iatiidentifier, {_round('it_usd', 'dp_usd', 'gap_usd', 'gap_pct')},
-  coalesce(abs(gap_pct) > 20, false) AS flagged FROM shared""",
+  coalesce(abs(gap_pct) > 20, false) AS flagged FROM shared_all ORDER BY shared_all.it_usd DESC, iatiidentifier LIMIT 20""",
     "shared_dispersion": """
 SELECT count(gap_pct) AS n_gaps, round(stddev_samp(gap_pct), 4) AS spread, round(median(gap_pct), 4) AS median_gap,
-  CASE WHEN stddev_samp(gap_pct) < 5 THEN 'uniform' ELSE 'variable' END AS verdict FROM shared""",
+  CASE WHEN stddev_samp(gap_pct) < 5 THEN 'uniform' ELSE 'variable' END AS verdict FROM shared_all""",
     "missing_detail": """
 SELECT aid AS iati_identifier, reporting AS reporting_org, reporting_ref AS reporting_org_ref, title AS activity_title,
   status_code, day_start::varchar AS start_date, day_end::varchar AS end_date,
@@ -504,8 +504,7 @@ FROM tracked WHERE NOT known AND reporting IS NOT NULL GROUP BY reporting""",
 SELECT n_activities, n_present, n_missing, {_totals('present_usd', 'missing_usd', 'all_usd')},
   round(missing_usd / all_usd * 100, 2) AS gap_pct FROM figures""",
     "missing_summary": """
-SELECT 1 AS position, 'run_date' AS metric, strftime(current_date, '%Y-%m-%d') AS value
-UNION ALL SELECT 2, 'activities', n_activities::varchar FROM figures
+SELECT 2 AS position, 'activities' AS metric, n_activities::varchar AS value FROM figures
 UNION ALL SELECT 3, 'present', n_present::varchar FROM figures
 UNION ALL SELECT 4, 'missing', n_missing::varchar FROM figures
 UNION ALL SELECT 5, 'present_usd', present_usd::decimal(38, 2)::varchar FROM figures
@@ -548,7 +547,7 @@ SELECT 'L' || o_orderkey::varchar AS _link_activity, NULL::varchar AS value, o_o
   o_orderkey::varchar AS iatiidentifier FROM orders WHERE o_orderpriority <> '1-URGENT'""",
     "xml_series_flatten": """
 SELECT flux, section_code, 'A' AS "FREQ", partner AS "PARTNER", annee::varchar AS "TIME_PERIOD",
-  thousands::decimal(24, 5)::varchar AS "OBS_VALUE" FROM t_obs WHERE thousands IS NOT NULL""",
+  thousands::decimal(24, 5)::varchar AS "OBS_VALUE" FROM t_obs""",
     "rate_json": """
 SELECT o_custkey, year(o_orderdate) AS annee, min(o_totalprice) AS taux FROM orders
 GROUP BY 1, 2 HAVING NOT bool_and(o_orderpriority = '1-URGENT')""",

@@ -334,7 +334,12 @@ def id_set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exclusive_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reconcile.exclusive_value(*_both(spark, sf_dir)), "total_usd", "shown_total_usd")
+    return rounded(reconcile.exclusive_value(*_both(spark, sf_dir)), "total_usd")
+
+
+@query
+def exclusive_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded_totals(reconcile.exclusive_total(reconcile.exclusive_value(*_both(spark, sf_dir))), "total_usd")
 
 
 @query
@@ -344,7 +349,8 @@ def exclusive_second(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shared_top20_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reconcile.shared_gaps(*_both(spark, sf_dir)), "it_usd", "dp_usd", "gap_usd", "gap_pct")
+    top = reconcile.shared_top(reconcile.shared_gaps(*_both(spark, sf_dir)))
+    return rounded(top, "it_usd", "dp_usd", "gap_usd", "gap_pct")
 
 
 @query
@@ -373,7 +379,7 @@ def missing_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def missing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     figures = reconcile.missing_figures(reconcile.tracked(*_both(spark, sf_dir)))
-    return reconcile.missing_summary(figures)
+    return reconcile.missing_summary(figures).where("metric <> 'run_date'")
 
 
 @query
@@ -452,7 +458,7 @@ def object_envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = envelopes.object_envelope(
         T.StructType([schemas.COUNTRY[n] for n in ("aid", "country_code", "country_percent")])
     )
-    return envelopes.object_rows(documents.select(F.from_json("body", schema).alias("doc")), "doc")
+    return envelopes.object_rows(documents.select(F.from_json("body", schema).alias("doc")), "doc", on_error="skip")
 
 
 @query
@@ -475,12 +481,12 @@ def array_envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def xml_series_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade observations written as series elements and read back, one row per observation.
 
-    A series holds one observation per year.
+    A series holds one observation per year; one without a value has no such attribute.
     """
-    seen = standins.observations(spark, sf_dir).where("OBS_VALUE IS NOT NULL")
-    value = F.col("OBS_VALUE").cast("decimal(24,5)").cast("string")
+    seen = standins.observations(spark, sf_dir)
+    value = F.concat(F.lit(' OBS_VALUE="'), F.col("OBS_VALUE").cast("decimal(24,5)").cast("string"), F.lit('"'))
     observation = F.concat(
-        F.lit('<Obs TIME_PERIOD="'), F.col("TIME_PERIOD"), F.lit('" OBS_VALUE="'), value, F.lit('"/>')
+        F.lit('<Obs TIME_PERIOD="'), F.col("TIME_PERIOD"), F.lit('"'), F.coalesce(value, F.lit("")), F.lit("/>")
     )
     series = seen.groupBy("flux", "section_code", "PARTNER").agg(
         F.array_join(F.collect_list(observation), "").alias("observations")

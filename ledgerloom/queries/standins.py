@@ -177,16 +177,13 @@ def aid_tables(spark: SparkSession, sf_dir: str) -> Views:
 
 # ------------------------------------------------------------------ second source
 
-def _known_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second source lags: newer orders are not in it."""
-    return table(spark, sf_dir, "orders").where(f"o_orderdate < timestamp_ntz '{SECOND_SOURCE_UNTIL}'")
-
-
 def second_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer = _known_orders(spark, sf_dir), table(spark, sf_dir, "customer")
+    """All orders and suppliers; the second source names newer orders in its own way."""
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     known = orders.join(customer, orders.o_custkey == customer.c_custkey).selectExpr(
         "concat('L', o_orderkey) AS _link",
-        f"{stored_identifier('o_orderkey')} AS iatiidentifier",
+        f"""CASE WHEN o_orderdate < timestamp_ntz '{SECOND_SOURCE_UNTIL}' THEN {stored_identifier('o_orderkey')}
+            ELSE concat('NEW-', o_orderkey) END AS iatiidentifier""",
         "concat('Order ', o_orderkey) AS title_narrative",
         "o_orderpriority AS description",
         "c_mktsegment AS reportingorg_narrative",
@@ -215,7 +212,7 @@ def second_recipient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As the country rows; some orders repeat the row of the country."""
     here = f"named_struct('code', 'KM', 'percentage', {SHARE})"
     there = "named_struct('code', 'XX', 'percentage', '60')"
-    known = _known_orders(spark, sf_dir).selectExpr(
+    known = table(spark, sf_dir, "orders").selectExpr(
         "concat('L', o_orderkey) AS _link_activity",
         f"""inline(CASE WHEN o_orderpriority = '3-MEDIUM' THEN array({here}, {there})
             WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN array({here}, {here})

@@ -7,9 +7,6 @@ of shuffle partitions follows the input: see :func:`shuffle_partitions_for`.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -48,20 +45,9 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster, if there is one."""
     return spark.conf.get("spark.checkpoint.dir", None) or None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; make one of our own only in local runs."""
-    folder = checkpoint_dir(spark)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if folder:
-        spark.sparkContext.setCheckpointDir(folder)

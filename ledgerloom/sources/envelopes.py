@@ -6,6 +6,8 @@ reading scales with the number of files.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -22,12 +24,12 @@ def object_envelope(schema: T.StructType) -> T.StructType:
     ])
 
 
-def object_rows(envelopes: DataFrame, doc: str | None = None, on_error: str = "skip") -> DataFrame:
+def object_rows(envelopes: DataFrame, doc: str | None = None, on_error: str = "fail") -> DataFrame:
     """Rows of envelopes ``{"rows": [{...}]}``.
 
     ``doc`` names a struct column that holds the envelope; by default the columns are at
-    the top. An answer with ``error`` gives no rows, or stops the job with
-    ``on_error="fail"``.
+    the top. An answer with ``error`` stops the job; with ``on_error="skip"`` it gives no
+    rows, and :func:`error_pages` says how many there were.
     """
     rows, error = (F.col(f"{doc}.rows"), F.col(f"{doc}.error")) if doc else (F.col("rows"), F.col("error"))
     if on_error == "fail":
@@ -43,7 +45,7 @@ def _type_of(df: DataFrame, doc: str | None, field: str) -> T.DataType:
 
 
 def read_object_table(
-    spark: SparkSession, path: str, schema: T.StructType, on_error: str = "skip"
+    spark: SparkSession, path: str, schema: T.StructType, on_error: str = "fail"
 ) -> DataFrame:
     """A landed table of the first source. A malformed file stops the job."""
     envelopes = spark.read.schema(object_envelope(_without_order(schema))).json(
@@ -52,6 +54,14 @@ def read_object_table(
     return with_arrival_order(envelopes, lambda e: object_rows(e, on_error=on_error), schema)
 
 
+def error_pages(spark: SparkSession, path: str) -> DataFrame:
+    """How many answers of a landed table there are, and how many hold an error instead of rows."""
+    schema = T.StructType([T.StructField("error", T.StringType())])
+    return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.count("error").alias("n_errors")
+    )
+
+
 def read_translated_table(spark: SparkSession, path: str, schema: T.StructType, language: str) -> DataFrame:
     """The copy of a table in one language, landed under ``lang=<language>``."""
     return read_object_table(spark, f"{path.rstrip('/')}/lang={language}", schema)
@@ -114,25 +124,37 @@ def _without_order(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema if f.name != "ord"])
 
 
+#: Up to so many files their order travels as a broadcast of names; beyond, the join is the optimizer's.
+LISTED_FILES = 100_000
+
+
+def in_natural_order(names: list[str]) -> list[str]:
+    """Names in order, runs of digits compared as numbers: ``page_2`` before ``page_10``."""
+    return sorted(names, key=lambda name: [(0, int(p), p) if p.isdigit() else (1, 0, p) for p in re.split(r"([0-9]+)", name)])
+
+
 def with_arrival_order(envelopes: DataFrame, rows_of, schema: T.StructType) -> DataFrame:
-    """Rows with ``ord``: page number from the file name, then position in the page.
+    """Rows with ``ord``: place of the file among all files of the table, then position in the file.
 
-    Pages land as ``...<number>.json``. The order depends on the file only, so it stays
-    the same whatever splits or executors read it.
+    Files are ordered by their whole path, so no two share a place, whatever their names; the
+    order stays the same whatever splits or executors read them.
     """
     if "ord" not in schema.names:
         return rows_of(envelopes)
-    page = F.coalesce(
-        F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.[A-Za-z.]+$", 1).try_cast("bigint"),
-        F.lit(0).cast("bigint"),
-    )
-    rows = F.col("rows")
+    spark = envelopes.sparkSession
+    files = [(name, place) for place, name in enumerate(in_natural_order(envelopes.inputFiles()), 1)]
+    one_form = F.regexp_replace("_file", "^file:/+", "file:/")  # Spark writes local paths in two ways
+    places = spark.createDataFrame(files, "_file string, _place long").withColumn("_file", one_form)
     numbered = F.transform(
-        rows,
+        F.col("rows"),
         lambda row, i: F.struct(
             (F.shiftleft(F.col("_page"), 32) + i).alias("ord"),
             *[row.getField(f.name).alias(f.name) for f in schema if f.name != "ord"],
         ),
     )
-    paged = envelopes.withColumn("_page", page).withColumn("rows", numbered)
+    side = F.broadcast(places) if len(files) <= LISTED_FILES else places
+    path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    paged = envelopes.withColumn("_path", path).join(side, F.col("_path") == F.col("_file"), "left")
+    unknown = F.raise_error(F.concat(F.lit("file without a place: "), F.col("_path"))).cast("bigint")
+    paged = paged.withColumn("_page", F.coalesce("_place", unknown)).withColumn("rows", numbered)
     return rows_of(paged)

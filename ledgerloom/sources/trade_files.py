@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom import schemas
 
-PREVIEW_ROWS = 500
-FULL_ROWS = 250_000
-
 
 def read_releases(spark: SparkSession, path: str) -> DataFrame:
     """The release list: ``{"data": [{...}]}``."""
@@ -29,22 +26,22 @@ def select_records(
     commodity: list[str] | None = None,
     flow: list[str] | None = None,
     max_records: int | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
     """Records by period, reporter, commodity and flow.
 
     On files partitioned by period and flow the first and last filter prune folders.
-    ``max_records`` is the row limit that the caller asks for, none by default.
+    ``max_records`` is the row limit that the caller asks for, none by default; it needs an ``order``.
     """
     wanted = {"period": period, "reporterCode": reporter, "cmdCode": commodity, "flowCode": flow}
     for column, values in wanted.items():
         if values is not None:
             records = records.where(F.col(column).cast("string").isin([str(v) for v in values]))
-    return records if max_records is None else records.limit(max_records)
-
-
-def preview(records: DataFrame, **filters: list[str]) -> DataFrame:
-    """First rows of a selection, as the free preview of the source gives them."""
-    return select_records(records, **filters, max_records=PREVIEW_ROWS)
+    if max_records is None:
+        return records
+    if not order:
+        raise ValueError("a limit needs an order")
+    return records.orderBy(*order).limit(max_records)
 
 
 def read_code_list(spark: SparkSession, path: str) -> DataFrame:

@@ -8,15 +8,29 @@ from ledgerloom.streaming import incremental
 
 
 def test_object_table_keeps_arrival_order_over_pages(spark):
-    rows = envelopes.read_object_table(spark, f"{FIXTURES}/act", schemas.ACT).orderBy("ord").collect()
+    rows = envelopes.read_object_table(spark, f"{FIXTURES}/act", schemas.ACT, on_error="skip").orderBy("ord").collect()
     assert [(r["aid"], r["status_code"], r["reporting"]) for r in rows] == [
         ("A1", "2", "Donor"), ("A2", "9", "Donor"), ("A3", "x", None)]
     assert [r["ord"] for r in rows] == [(1 << 32), (1 << 32) + 1, (2 << 32)]
 
 
-def test_object_table_error_may_stop_the_job(spark):
+def test_object_table_error_stops_the_job(spark):
     with pytest.raises(Exception, match="source error: time-out"):
-        envelopes.read_object_table(spark, f"{FIXTURES}/act", schemas.ACT, on_error="fail").collect()
+        envelopes.read_object_table(spark, f"{FIXTURES}/act", schemas.ACT).collect()
+    assert tuple(envelopes.error_pages(spark, f"{FIXTURES}/act").first()) == (3, 1)
+
+
+@pytest.mark.parametrize("names", [
+    ["part-00000-c000.json", "part-00001-c000.json"], ["answers.json", "more.json"],
+    ["20260323104512.json", "20260323104513.json"], ["page_2.json", "page_10.json"], ["a/page_1.json", "b/page_1.json"],
+])
+def test_files_have_places_of_their_own(spark, tmp_path, names):
+    for i, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text('{"rows": [{"aid": "%d"}, {"aid": "%dx"}]}' % (i, i))
+    path = str(tmp_path / "*") if "/" in names[0] else str(tmp_path)
+    rows = envelopes.read_object_table(spark, path, schemas.ACT).orderBy("ord").collect()
+    assert [r["aid"] for r in rows] == ["0", "0x", "1", "1x"] and len({r["ord"] for r in rows}) == 4
 
 
 def test_malformed_file_stops_the_job(spark, tmp_path):
@@ -100,8 +114,9 @@ def test_bulk_files_and_selection(spark):
     assert records.count() == 3
     picked = trade_files.select_records(records, period=["2021"], reporter=["174"], flow=["M", "X"])
     assert sorted(r["cmdCode"] for r in picked.collect()) == ["0905", "0907"]
-    assert trade_files.select_records(records, commodity=["0905"], max_records=1).count() == 1
-    assert trade_files.preview(records, period=["2022"]).count() == 1
+    assert trade_files.select_records(records, commodity=["0905"], max_records=1, order=["period"]).count() == 1
+    with pytest.raises(ValueError, match="order"):
+        trade_files.select_records(records, max_records=1)
 
 
 def test_selection_prunes_partition_folders(spark, tmp_path):
