@@ -6,10 +6,10 @@
    bin in a random order of its own (optimal densification). BANDS bands of the sketch give buckets.
 3. Each bucket is a star: its members are linked to one member, so pairs grow with the members, not their
    square. Links are checked on the full sets, both texts read again.
-4. Linked classes are joined (large star, small star). In a bucket that still holds several components the star did not
-   tell all: there the pairs across components are tried (in buckets of up to SMALL members all of them,
-   in larger ones stars around CENTRES random members, others in each round), until a round finds no new link.
-   A pair linked through others is never tried.
+4. Linked classes are joined: parts of the links are contracted, then what they disagree on. In a bucket that still
+   holds several components the star did not tell all: there pairs across components are tried (in buckets of up
+   to SMALL members all of them, in larger ones stars around CENTRES random members, others in each round), until
+   a round finds no new link. A pair linked through others is never tried.
 
 A pair at the threshold shares no bucket with a probability of about 5 in a million; such a pair shares about ten
 buckets, and small ones among them are told in full.
@@ -197,30 +197,45 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v").mapInArrow(_checked, f"u {node}, v {node}")
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over the links of one part: each node once, with the smallest node it reaches here."""
+    parent: dict[tuple, tuple] = {}
+
+    def top(x: tuple) -> tuple:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        sides = [zip(*(batch.column(c).field(k).to_pylist() for k in (0, 1))) for c in ("u", "v")]
+        for u, v in zip(*sides):
+            u, v = top(parent.setdefault(u, u)), top(parent.setdefault(v, v))
+            parent[max(u, v)] = min(u, v)
+
+    def nodes(pairs: list[tuple]) -> pa.Array:
+        return pa.StructArray.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    found = list(parent)
+    yield pa.RecordBatch.from_arrays([nodes(found), nodes([top(x) for x in found])], ["node", "root"])
+
+
 def components(links: DataFrame) -> DataFrame:
-    """Each linked node and the smallest node it reaches: node, root. Large star and small star in turn."""
-    def ends(frame: DataFrame) -> DataFrame:
-        return frame.select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).where("u <> v").distinct()
-
-    def marks(frame: DataFrame) -> tuple:
-        return tuple(frame.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
-
-    edges = cut(ends(links))
-    seen = marks(edges)
-    while True:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m")))
-        large = both.where("v > u").join(least, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut(ends(large))
-        lowest = cut(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m"))
-        small = large.join(lowest, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(ends(small.unionByName(lowest.select(F.col("n").alias("u"), F.col("m").alias("v")))))
-        now = marks(edges)
-        if now == seen:
-            break
-        seen = now
-    roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select("node", F.col("node").alias("root")))
+    """Each linked node and the smallest node it reaches: node, root.
+
+    Each part of the links (of a size that the engine balances) is contracted by itself. Where parts give a node
+    different roots, these are linked, and the roots' components are found in the same way; they are far fewer.
+    A node is once in a part at most, so no node is a hot key.
+    """
+    node = links.schema["u"].dataType.simpleString()
+    forest = cut(links.select("u", "v").hint("rebalance").mapInArrow(_forest, f"node {node}, root {node}"))
+    least = cut(forest.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")))
+    clash = least.where("low <> high").select("node", "low")
+    if clash.isEmpty():
+        return least.select("node", F.col("low").alias("root"))
+    between = forest.join(clash, "node").where("root <> low").select(F.col("root").alias("u"), F.col("low").alias("v"))
+    above = cut(components(between)).select(F.col("node").alias("low"), F.col("root").alias("above"))
+    return least.join(above, "low", "left").select("node", F.coalesce("above", "low").alias("root"))
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:

@@ -86,3 +86,19 @@ def test_sketch_bins_agree_as_often_as_sets(n):
     one, two = keys[:n], np.sort(keys[n:])
     bands = near_dedup.sketch_bands(np.concatenate([one, one, two]), np.array([0, n, 2 * n, 3 * n]))
     assert (bands[0] == bands[1]).all() and not (bands[0] == bands[2]).any()
+
+
+def test_components_over_many_parts(spark):
+    """A long chain, a hub and a few pairs, dealt over parts that do not know each other's links."""
+    from pyspark.sql import functions as F
+
+    links = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000 + i, 6000 + i) for i in range(20)] + [(299, 1150)]
+    frame = spark.createDataFrame(links, "x long, y long").repartition(17)
+    frame = frame.select(*[F.struct(F.col(c).alias("a"), F.lit(0).cast("long").alias("b")).alias(n) for c, n in (("x", "u"), ("y", "v"))])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.node.a: r.root.a for r in near_dedup.components(frame).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {x: 0 for x in [*range(301), *range(1000, 1200)]} | {y: 5000 + i for i in range(20) for y in (5000 + i, 6000 + i)}
+    assert got == want
