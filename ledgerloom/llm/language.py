@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import in_slices, raw_bytes
 
-TRAIN_PER_LANGUAGE = 1000
+TRAIN_PER_LANGUAGE = 500
 BITS = 12
 UNKNOWN = "und"
 
@@ -73,27 +73,28 @@ def frequencies(texts: pa.Array) -> np.ndarray:
 
 def linear_svm(x: np.ndarray, y: np.ndarray, rounds: int = 120, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the squared hinge loss; y is -1 or 1, classes weigh alike."""
-    x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
-    w = np.zeros(x.shape[1], np.float32)
-    ahead, pace = w, 1.0
-    norms = float((x * x).sum(1).max())
-    step = 1.0 / (2 * norms + penalty)
+    w, bias = np.zeros(x.shape[1], np.float32), np.float32(0)
+    ahead, ahead_bias, pace = w, bias, 1.0
+    norms = float(np.einsum("ij,ij->i", x, x).max()) + 1
+    step = np.float32(1.0 / (2 * norms + penalty))
     for _ in range(rounds):  # accelerated gradient steps
-        short = np.maximum(0, 1 - y * (x @ ahead))
-        gradient = penalty * ahead - 2 * (x.T @ (share * y * short))
-        new = ahead - step * gradient
+        pull = share * y * np.maximum(0, 1 - y * (x @ ahead + ahead_bias))
+        new = ahead - step * (np.float32(penalty) * ahead - 2 * (x.T @ pull))
+        new_bias = ahead_bias - step * (np.float32(penalty) * ahead_bias - 2 * pull.sum())
         pace_next = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        ahead = new + np.float32((pace - 1) / pace_next) * (new - w)
-        w, pace = new, pace_next
-    return w[:-1], float(w[-1])
+        push = np.float32((pace - 1) / pace_next)
+        ahead, ahead_bias = new + push * (new - w), new_bias + push * (new_bias - bias)
+        w, bias, pace = new, new_bias, pace_next
+    return w, float(bias)
 
 
 def train(vectors: np.ndarray, labels: list[str]) -> dict:
     """A machine for each pair of families, and for each pair of languages of one family."""
     spread = vectors.std(0) + 1e-6 if len(vectors) else np.ones(vectors.shape[1], np.float32)
-    scaled = (vectors - vectors.mean(0)) / spread / np.float32(np.sqrt(vectors.shape[1])) if len(vectors) else vectors
     middle = vectors.mean(0) if len(vectors) else spread
+    scaled = vectors - middle
+    scaled /= spread * np.float32(np.sqrt(vectors.shape[1]))
     family = np.array([FAMILY.get(x, "other") for x in labels])
     labels = np.array(labels)
 
@@ -200,7 +201,7 @@ def learn(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> dict:
 def _labelled(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in in_slices(whole, "text", 2 << 20):
+            for batch in in_slices(whole, "text", 512 << 10):
                 lang, score = predict(model, batch.column("text"))
                 kept = [batch.column(i) for i in range(batch.num_columns - 1)]
                 names = batch.schema.names[:-1]
@@ -221,7 +222,7 @@ def identify(docs: DataFrame, model: dict | None = None) -> DataFrame:
 def _in_a_language(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in in_slices(whole, "text", 2 << 20):
+            for batch in in_slices(whole, "text", 512 << 10):
                 lang, _ = predict(model, batch.column("text"))
                 yield batch.filter(pa.array([x != UNKNOWN for x in lang]))
 
