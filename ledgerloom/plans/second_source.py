@@ -50,7 +50,8 @@ def activities(tables: SecondTables, code: str = fixed.COUNTRY_CODE) -> DataFram
         F.col("actualstart").alias("date_debut"),
         F.col("actualend").alias("date_fin"),
         F.col("percentage").alias("country_percent"),
-    ).distinct()
+    )
+    rows = rows.repartition("aid").distinct()  # one shuffle for this step and the joins by aid
     rows = rows.withColumn("country_percent", clean.number_or(rows, "country_percent", 100))
     return rows.withColumn("projet_multi_pays", clean.multi_country_flag(F.col("country_percent")))
 

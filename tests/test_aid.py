@@ -117,10 +117,10 @@ def test_prefilter_gives_the_same_dataset(tables):
 
 
 def test_wide_dataset_keeps_unpublished_measures(tables):
-    row = aid.wide_dataset(tables).where("id_projet = 'A'").first()
-    assert row["nombre_transactions"] == 4
-    assert row["depense_transactions_usd"] == pytest.approx(20.0)
-    assert row["engagement_transactions_usd"] == pytest.approx(2.8)
+    row = aid.wide_dataset(tables).where("aid = 'A'").first()
+    assert row["n_transactions"] == 4
+    assert row["expenditure_usd"] == pytest.approx(20.0)
+    assert row["commitment_usd"] == pytest.approx(2.8)
     assert row["budget_currency"] == "USD, EUR" and row["budget_value"] == 15.0
 
 

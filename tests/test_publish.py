@@ -14,7 +14,7 @@ def test_aid_is_published_with_its_dictionary(spark, tables, tmp_path):  # noqa:
     publish.publish_aid(aid.dataset(tables), str(tmp_path))
     stored = publish.read_published(spark, str(tmp_path))
     assert stored.columns == aid.PUBLISHED and stored.count() == 3
-    assert stored.schema["statut"].metadata["comment"].startswith("Statut du projet")
+    assert stored.schema["statut"].metadata["comment"].startswith("Étape d'avancement")
     dictionary = spark.read.parquet(str(tmp_path / "metadata"))
     assert dictionary.columns == ["colonne", "source", "description"] and dictionary.count() == 24
 
