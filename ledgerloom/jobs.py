@@ -9,7 +9,8 @@ or, in a local session, ``python -m ledgerloom.jobs <job> ...``. Landing layout:
     second/<activity|recipientcountry|transaction_breakdown|budget>/*.json
     trade/flux=<X|M>/section_code=<code>/*.xml                trade series
     rates/*.json                                              yearly exchange rates
-    releases/*.json, registry/ (Parquet)                      releases, identifier registry snapshot
+    releases/*.json, bulk/*.csv                               releases, and their files
+    registry/ (Parquet)                                       identifier registry snapshot
 
 Where several reports need one intermediate result it is written as a table and read
 back, so it is computed once and outlives its executors.
@@ -30,6 +31,7 @@ from ledgerloom.sinks.publish import (
     publish_aid, publish_comparison, publish_tracker, publish_trade, read_published, write,
 )
 from ledgerloom.sources import envelopes, rates, sdmx, trade_files
+from ledgerloom.streaming import incremental
 
 
 def first_source(spark: SparkSession, landed: str) -> AidTables:
@@ -89,7 +91,9 @@ def counts_job(spark: SparkSession, landed: str, out: str) -> None:
 def trade_job(spark: SparkSession, landed: str, out: str) -> None:
     """The trade dataset, its statistics and an audit of the landed sections."""
     series = sdmx.read_series(spark, f"{landed}/trade", audit=True)
-    write(sdmx.section_audit(series, ["flux", "section_code"]), f"{out}/trade/audit")
+    audit = sdmx.section_audit(series, ["flux", "section_code"])
+    sections = [code for code, _ in fixed.pairs(fixed.HS_SECTIONS)]
+    write(sdmx.with_absent_sections(audit, ["X", "M"], sections), f"{out}/trade/audit")
     readable = series.where("_corrupt_record IS NULL").drop("_corrupt_record")
     observations = sdmx.flatten_series(readable, keep=["flux", "section_code"])
     live = rates.read_rates(spark, f"{landed}/rates")
@@ -145,12 +149,17 @@ def registry_job(spark: SparkSession, landed: str, out: str) -> None:
 
 
 def releases_job(spark: SparkSession, landed: str, out: str) -> None:
-    """Releases still to load; the manifest of earlier runs is ``<out>/releases/loaded``."""
+    """Load the bulk files that have landed, then list the releases still to load.
+
+    Files land as ``bulk/<reporter>_<period>.csv``; the manifest of loaded releases, ``<out>/releases/loaded``,
+    holds the releases whose file is in the loaded rows.
+    """
     listed = releases.of_reporter(trade_files.read_releases(spark, f"{landed}/releases"))
-    manifest = f"{out}/releases/loaded"
-    known = schemas.T.StructType([f for f in schemas.RELEASES if f.name != "fileUrl"])
-    spark.createDataFrame([], known).write.mode("append").parquet(manifest)  # exists from the first run on
-    loaded = spark.read.schema(known).parquet(manifest)
+    base = f"{out}/releases"
+    incremental.load_new_files(spark, f"{landed}/bulk", schemas.RECORDS, f"{base}/records", "bulk", f"{base}/progress")
+    with_file = schemas.T.StructType([*schemas.RECORDS, schemas.T.StructField("source_file", schemas.T.StringType())])
+    records = spark.read.schema(with_file).parquet(f"{base}/records")
+    loaded = stored(releases.loaded_releases(listed, records), f"{base}/loaded")
     waiting = releases.pending(listed, loaded).withColumn("found_on", F.current_date())
     write(releases.latest_first(waiting), f"{out}/releases/pending")
 

@@ -18,6 +18,13 @@ def latest_first(releases: DataFrame, *more: Column | str) -> DataFrame:
     return releases.orderBy(*more, F.coalesce("period", F.lit("")).desc())
 
 
+def loaded_releases(releases: DataFrame, records: DataFrame) -> DataFrame:
+    """Reporter and period of the releases whose file ``<reporter>_<period>.csv`` is among the loaded rows."""
+    files = records.select(F.regexp_extract("source_file", r"^(.*?)\.csv", 1).alias("_name")).distinct()
+    name = F.concat_ws("_", F.col("reporterCode").cast("string"), "period")
+    return releases.select("reporterCode", "period").distinct().join(files, name == F.col("_name"), "left_semi")
+
+
 def pending(releases: DataFrame, loaded: DataFrame, order: str | None = None) -> DataFrame:
     """Releases with a file that is not loaded yet, one per reporter and period.
 

@@ -48,6 +48,9 @@ RELEASES = T.StructType([
     T.StructField("period", T.StringType()),
     T.StructField("fileUrl", T.StringType()),
 ])
+RECORDS = T.StructType([
+    T.StructField(name, T.StringType()) for name in ("period", "reporterCode", "cmdCode", "flowCode", "primaryValue")
+])
 AVAILABILITY = T.StructType([
     T.StructField("period", T.StringType()),
     T.StructField("reporterISO", T.StringType()),

@@ -57,6 +57,14 @@ def flatten_series(
     )
 
 
+def with_absent_sections(audit: DataFrame, flows: list[str], sections: list[str]) -> DataFrame:
+    """The audit with a line of zeros for every known section and flow that never landed."""
+    known = audit.sparkSession.createDataFrame(
+        [(flow, section) for flow in flows for section in sections], "flux string, section_code string"
+    )
+    return known.join(audit, ["flux", "section_code"], "full").fillna(0, ["n_series", "n_obs", "n_unreadable"])
+
+
 def section_audit(series: DataFrame, keys: list[str]) -> DataFrame:
     """Series, observations and unreadable records per landed section."""
     return series.groupBy(*keys).agg(

@@ -73,7 +73,9 @@ def test_trade_job(spark, landed, tmp_path):
     facts = read_published(spark, f"{tmp_path}/trade")
     assert {(r["annee"], r["taux_usd_eur"]) for r in facts.collect()} == {(1997, None), (2020, 1.1422), (2019, None)}
     assert spark.read.parquet(f"{tmp_path}/trade/statistics").first()["n_total"] == 3
-    assert spark.read.parquet(f"{tmp_path}/trade/audit").count() == 2
+    audit = spark.read.parquet(f"{tmp_path}/trade/audit")
+    assert audit.count() == 32 and audit.where("n_series > 0").count() == 2
+    assert audit.where("n_series = 0 AND n_obs = 0 AND n_unreadable = 0").count() == 30
 
 
 def test_second_source_jobs(spark, landed, tmp_path):
@@ -92,11 +94,15 @@ def test_registry_and_releases_jobs(spark, landed, tmp_path):
         str(landed / "registry"))
     jobs.registry_job(spark, str(landed), str(tmp_path))
     assert [r["registry_status"] for r in spark.read.parquet(f"{tmp_path}/registry/status").collect()] == ["found"]
+    header = "period,reporterCode,cmdCode,flowCode,primaryValue\n"
+    (landed / "bulk").mkdir()
+    (landed / "bulk" / "174_2021.csv").write_text(header + "2021,174,0905,X,10\n")
     jobs.releases_job(spark, str(landed), str(tmp_path))
-    pending = spark.read.parquet(f"{tmp_path}/releases/pending")
-    assert {r["period"] for r in pending.collect()} == {"2020", "2021", "2019", None}
-    spark.createDataFrame([(174, "2020")], "reporterCode int, period string").write.mode("append").parquet(
-        f"{tmp_path}/releases/loaded")
+    periods = lambda name: {r["period"] for r in spark.read.parquet(f"{tmp_path}/releases/{name}").collect()}
+    assert periods("pending") == {"2020", "2019", None} and periods("loaded") == {"2021"}
+    for period in ("2020", "2019"):
+        (landed / "bulk" / f"174_{period}.csv").write_text(header + f"{period},174,0907,M,5\n")
     jobs.releases_job(spark, str(landed), str(tmp_path))
-    pending = spark.read.parquet(f"{tmp_path}/releases/pending")
-    assert "2020" not in {r["period"] for r in pending.collect()}
+    assert periods("pending") == {None} and periods("loaded") == {"2019", "2020", "2021"}
+    jobs.releases_job(spark, str(landed), str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/releases/records").count() == 3
