@@ -35,7 +35,8 @@ from ledgerloom.llm.common import cut, in_slices, raw_bytes, stored, text_or_emp
 WORDS = 5
 PERCENT = 75
 BINS, BANDS = 128, 32
-SMALL, CENTRES = 40, 3
+SMALL, CENTRES = 40, 8
+PART_LINKS = 500_000  # links that one task contracts
 SLICE_BYTES = 512 << 10
 
 _U = np.uint64
@@ -223,12 +224,13 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """Each linked node and the smallest node it reaches: node, root.
 
-    Each part of the links (of a size that the engine balances) is contracted by itself. Where parts give a node
+    Each part of PART_LINKS links or so is contracted by itself. Where parts give a node
     different roots, these are linked, and the roots' components are found in the same way; they are far fewer.
     A node is once in a part at most, so no node is a hot key.
     """
     node = links.schema["u"].dataType.simpleString()
-    forest = cut(links.select("u", "v").hint("rebalance").mapInArrow(_forest, f"node {node}, root {node}"))
+    parts = links.count() // PART_LINKS + 1
+    forest = cut(links.select("u", "v").repartition(parts).mapInArrow(_forest, f"node {node}, root {node}"))
     least = cut(forest.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")))
     clash = least.where("low <> high").select("node", "low")
     if clash.isEmpty():

@@ -88,10 +88,11 @@ def test_sketch_bins_agree_as_often_as_sets(n):
     assert (bands[0] == bands[1]).all() and not (bands[0] == bands[2]).any()
 
 
-def test_components_over_many_parts(spark):
+def test_components_over_many_parts(spark, monkeypatch):
     """A long chain, a hub and a few pairs, dealt over parts that do not know each other's links."""
     from pyspark.sql import functions as F
 
+    monkeypatch.setattr(near_dedup, "PART_LINKS", 30)
     links = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000 + i, 6000 + i) for i in range(20)] + [(299, 1150)]
     frame = spark.createDataFrame(links, "x long, y long").repartition(17)
     frame = frame.select(*[F.struct(F.col(c).alias("a"), F.lit(0).cast("long").alias("b")).alias(n) for c, n in (("x", "u"), ("y", "v"))])
