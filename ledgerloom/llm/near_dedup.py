@@ -246,8 +246,11 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     return members.join(centre, "bucket").select(F.col("node").alias("u"), "v").where("u <> v").distinct()
 
 
-def _more_pairs(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """Pairs across components in buckets that hold several: all pairs of small buckets, stars in large ones."""
+def _more_pairs(members: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs across the components of a bucket: all of small buckets in the first turn, stars in large ones in each.
+
+    Also the members of large buckets that hold several components, for the next turn; other buckets are done.
+    """
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = cut(placed.groupBy("bucket").agg(
         F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
@@ -255,15 +258,18 @@ def _more_pairs(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
             F.min(F.struct(F.xxhash64("node", F.lit(CENTRES * turn + k)).alias("h"), F.col("node"), F.col("root"))) for k in range(CENTRES)
         ]).alias("centres"),
     ).where("low <> high"))
-    open_members = placed.join(several.select("bucket", "size", "centres"), "bucket")
-    small = open_members.where(F.col("size") <= SMALL).groupBy("bucket").agg(F.collect_list(F.struct("node", "root")).alias("all"))
-    small = small.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
-    small = small.where("x.node < y.node AND x.root <> y.root").select(F.col("y.node").alias("u"), F.col("x.node").alias("v"))
-    large = open_members.where(F.col("size") > SMALL).select("node", "root", F.explode("centres").alias("centre"))
-    large = large.where("root <> centre.root").select(
-        F.greatest("node", "centre.node").alias("u"), F.least("node", "centre.node").alias("v")
-    )
-    return small.unionByName(large).distinct()
+    large = several.where(F.col("size") > SMALL)
+    left = cut(placed.join(large.select("bucket"), "bucket", "left_semi").select("bucket", "node", "root"))
+    apart = F.filter("centres", lambda centre: centre["root"] != F.col("root"))
+    pairs = left.join(large.select("bucket", "centres"), "bucket").select("node", F.explode(apart).alias("centre"))
+    pairs = pairs.select(F.greatest("node", "centre.node").alias("u"), F.least("node", "centre.node").alias("v"))
+    if turn == 1:  # all pairs of small buckets are tried once
+        small = placed.join(several.where(F.col("size") <= SMALL).select("bucket"), "bucket")
+        small = small.groupBy("bucket").agg(F.collect_list(F.struct("node", "root")).alias("all"))
+        small = small.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
+        small = small.where("x.node < y.node AND x.root <> y.root").select(F.col("y.node").alias("u"), F.col("x.node").alias("v"))
+        pairs = pairs.unionByName(small)
+    return left.select("bucket", "node"), pairs.distinct()
 
 
 def _classes(rows: DataFrame) -> DataFrame:
@@ -290,7 +296,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     tried = pairs
     roots = cut(components(links))
     for turn in count(1):
-        pairs = cut(_more_pairs(members, roots, turn).join(tried, ["u", "v"], "left_anti"))
+        members, pairs = _more_pairs(members, roots, turn)
+        pairs = cut(pairs.join(tried, ["u", "v"], "left_anti"))
         found = cut(confirmed(pairs, texts))
         if found.isEmpty():
             break
