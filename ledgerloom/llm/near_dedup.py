@@ -10,9 +10,11 @@
    holds several components the star did not tell all: there pairs across components are tried (in buckets of up
    to SMALL members all of them, in larger ones stars around CENTRES random members, others in each round), until
    a round finds no new link. A pair linked through others is never tried.
+5. What is still open in large buckets is settled exactly, by a prefix filter: sets that agree by PERCENT share one of
+   the rarest shingles of each, so classes of different components meet by these shingles (:func:`_open_pairs`).
 
-A pair at the threshold shares no bucket with a probability of about 5 in a million; such a pair shares about ten
-buckets, and small ones among them are told in full.
+A pair at the threshold shares no bucket with a probability of about 5 in a million; every pair that shares one is
+linked, through others or by itself.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a text of fewer than five words is one
 shingle, a text without words (or null) has none and is alone. The row that stays is the one with the
@@ -38,6 +40,8 @@ BINS, BANDS = 128, 32
 SMALL, CENTRES = 40, 8
 PART_LINKS = 500_000  # links that one task contracts
 SLICE_BYTES = 512 << 10
+SLOTS = 1 << 20  # counts of shingles, for the order of the prefix filter
+HOT = 1000  # classes that one task compares with the others of a shingle
 
 _U = np.uint64
 _RANDOM = np.random.Generator(np.random.PCG64(5))
@@ -272,6 +276,72 @@ def _more_pairs(members: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFr
     return left.select("bucket", "node"), pairs.distinct()
 
 
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(SLOTS, np.int64)
+    for whole in batches:
+        for batch in in_slices(whole, "text", SLICE_BYTES):
+            keys, _ = shingle_keys(*raw_bytes(batch.column("text")))
+            counts += np.bincount((keys % _U(SLOTS)).astype(np.int64), minlength=SLOTS)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["slot", "n"])
+
+
+def _rarest(counts):
+    """The shingles of each set that a set agreeing by PERCENT cannot lack all: its first in the order of counts.
+
+    Any order does if it is one for all sets; rare first makes few candidates. counts: broadcast, by slot of the hash.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in in_slices(whole, "text", SLICE_BYTES):
+                keys, at = shingle_keys(*raw_bytes(batch.column("text")))
+                n = np.diff(at)
+                row = np.repeat(np.arange(len(n)), n)
+                often = counts.value[(keys % _U(SLOTS)).astype(np.int64)]
+                order = np.lexsort((keys, often, row))
+                place = np.arange(len(keys)) - at[:-1][row]
+                least = -(-PERCENT * n // 100)
+                first = np.flatnonzero((place <= (n - least)[row]) & (often[order] > 1))  # what is once is in no other set
+                take = pa.array(row[first])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").take(take), batch.column("root").take(take), pa.array(keys[order][first].view(np.int64)),
+                     pa.array(place[first].astype(np.int32)), pa.array(n[row[first]].astype(np.int32))],
+                    ["node", "root", "shingle", "place", "n"],
+                )
+
+    return run
+
+
+def _open_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs across components, among the members' classes, that may agree by PERCENT: u, v.
+
+    Two sets that agree have a first common shingle in the order of :func:`_rarest`; it is among the rarest of both, and
+    what follows it in each set must suffice for the rest of what they share. Of a shingle, members of its largest
+    component meet only the others. A shingle of over HOT classes is dealt by node.
+    """
+    node = roots.schema["node"].dataType.simpleString()
+    open_nodes = members.select("node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sets = stored(texts.join(open_nodes, "node"), "open")
+    table = np.zeros(SLOTS, np.int64)
+    summed = sets.select("text").mapInArrow(_slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table[summed.column("slot").to_numpy()] = summed.column("n").to_numpy()
+    counts = sets.sparkSession.sparkContext.broadcast(table)
+    firsts = stored(sets.mapInArrow(_rarest(counts), f"node {node}, root {node}, shingle long, place int, n int"), "rarest")
+
+    by_root = firsts.groupBy("shingle", "root").agg(F.count("*").alias("k"))
+    several = by_root.groupBy("shingle").agg(F.sum("k").alias("k"), F.min("root").alias("low"), F.max("root").alias("high"), F.max_by("root", "k").alias("main"))
+    several = several.where("low <> high").select("shingle", "main", F.ceil(F.col("k") / HOT).cast("int").alias("parts"))
+    met = cut(firsts.join(several, "shingle"))
+    one = met.where("root <> main").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    other = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    x, y = one.alias("x"), other.alias("y")
+    new = F.expr("x.root <> y.root AND (y.root = y.main OR x.node < y.node)")
+    enough = F.expr(f"{100 + PERCENT}L * least(x.n - x.place, y.n - y.place) >= {PERCENT}L * (x.n + y.n)")
+    same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") == F.col("y.part"))
+    pairs = x.join(y, same & new & enough)
+    return pairs.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
+
+
 def _classes(rows: DataFrame) -> DataFrame:
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("t")))
     filled = rows.where("n_shingles > 0")
@@ -295,15 +365,24 @@ def near_copies(docs: DataFrame) -> DataFrame:
     links = cut(confirmed(pairs, texts))
     tried = pairs
     roots = cut(components(links))
+
+    def joined(found: DataFrame) -> DataFrame:
+        known = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+        return cut(components(known.unionByName(found)))
+
     for turn in count(1):
         members, pairs = _more_pairs(members, roots, turn)
         pairs = cut(pairs.join(tried, ["u", "v"], "left_anti"))
         found = cut(confirmed(pairs, texts))
+        tried = tried.unionByName(pairs)
         if found.isEmpty():
             break
-        tried = tried.unionByName(pairs)
-        known = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-        roots = cut(components(known.unionByName(found)))
+        roots = joined(found)
+    if not members.isEmpty():  # large buckets with several components
+        pairs = cut(_open_pairs(members, roots, texts).join(tried, ["u", "v"], "left_anti"))
+        found = cut(confirmed(pairs, texts))
+        if not found.isEmpty():
+            roots = joined(found)
 
     named = classes.select("node", "best").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min("best").alias("stays"))

@@ -63,6 +63,45 @@ def test_large_buckets_find_chains_too(docs_of, monkeypatch):
     assert found(near_dedup.near_copies(docs_of(rows))) == expected(rows)
 
 
+def family_of_pairs(n, seed=5):
+    """Copies of one text that agree by under 75 percent, except in pairs that share few words of their own."""
+    random = np.random.default_rng(seed)
+    base = [f"b{x}" for x in range(84)]
+    rows = []
+    for i in range(n):
+        both = [f"p{i}x{x}" for x in range(6)]
+        rows += [" ".join(base + both + [f"o{i}y{k}z{x}" for x in range(14)]) for k in (0, 1)]
+    order = random.permutation(len(rows)).tolist()
+    return [(i, rows[j]) for i, j in enumerate(order)]
+
+
+def test_links_of_single_members_in_large_buckets(docs_of):
+    """Buckets of several hundred classes whose only links lead to one other member each."""
+    rows = family_of_pairs(300)
+    want = expected(rows)
+    assert len({c for _, _, c in want}) == 300
+    assert found(near_dedup.near_copies(docs_of(rows))) == want
+
+
+def test_open_pairs_hold_every_agreeing_pair(spark, docs_of, monkeypatch):
+    """Across components, with hot shingles dealt over several tasks."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(near_dedup, "HOT", 7)
+    rows = family_of_pairs(15) + [(100 + i, t) for i, t in near_rows(40, seed=11)] + [(200, "a few words")]
+    node = F.struct(F.col("doc_id").alias("a"), F.lit(0).cast("long").alias("b")).alias("node")
+    texts = docs_of(rows).select(node, "text")
+    roots = texts.select("node", F.struct(F.expr("node.a div 4").alias("a"), F.lit(-1).cast("long").alias("b")).alias("root"))
+    got = {(r.u.a, r.v.a) for r in near_dedup._open_pairs(texts.select(F.lit(1).alias("bucket"), "node"), roots, texts).collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    for u in sets:
+        for v in sets:
+            same = len(sets[u] & sets[v])
+            if u > v and u // 4 != v // 4 and 100 * same >= 75 * len(sets[u] | sets[v]):
+                assert (u, v) in got
+    assert all(u > v and u // 4 != v // 4 for u, v in got)
+
+
 def test_odd_rows(docs_of, odd_rows):
     rows = [r[:2] for r in odd_rows]
     want = [(i, n, i if n == 0 else c) for i, n, c in expected(rows)]
