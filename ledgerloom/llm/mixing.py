@@ -144,11 +144,25 @@ def mix(
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with their columns as they were.
 
-    Rows that repeat in full (id and text) are each taken as often as the least taken of them.
+    Rows of a source that repeat id and text share what is taken of them; where it does not divide, the first in the
+    order of the input are written once more. These are numbered in two levels, by input partition and inside it.
     """
-    taken = mix(docs, weights, passes).groupBy("key").agg(F.min("times").alias("times")).where("times > 0")
+    taken = mix(docs, weights, passes).groupBy("key", "source").agg(F.sum("times").alias("all_times"), F.count("*").alias("copies"))
+    taken = taken.where("all_times > 0").withColumn("odd", F.col("all_times") % F.col("copies"))
+    taken = taken.withColumn("times", F.expr("all_times div copies")).select("key", "source", "times", "odd")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("row"), _row_key().alias("row_key"))
-    return rows.join(taken, F.col("row_key") == F.col("key")).select(
-        "row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth")
-    ).select("row.*")
+    rows = docs.select(row.alias("row"), _row_key().alias("row_key"), F.col("source").cast("string").alias("row_source"))
+    same = (F.col("row_key") == F.col("key")) & F.col("row_source").eqNullSafe(F.col("source"))
+    made = rows.join(taken.where("odd = 0"), same).select("row", "times")
+
+    uneven = cut(taken.where("odd > 0"))
+    if not uneven.isEmpty():
+        placed = rows.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
+        placed = cut(placed.join(uneven, same).drop("row_key", "row_source"))
+        sums = placed.groupBy(F.col("key").alias("k"), F.col("source").alias("s"), F.col("part").alias("p")).agg(F.count("*").alias("here"))
+        sums = sums.withColumn("before", F.sum("here").over(W.partitionBy("k", "s").orderBy("p")) - F.col("here"))
+        placed = placed.withColumn("nth", F.row_number().over(W.partitionBy("key", "source", "part").orderBy("place")))
+        placed = placed.join(sums, (F.col("key") == F.col("k")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+        once_more = (F.col("before") + F.col("nth") <= F.col("odd")).cast("long")
+        made = made.unionByName(placed.select("row", (F.col("times") + once_more).alias("times")).where("times > 0"))
+    return made.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth")).select("row.*")

@@ -42,6 +42,18 @@ def test_odd_rows(docs_of, odd_rows):
     assert abs(taken - sum(r.taken for r in got)) <= 10
 
 
+def test_repeated_rows_are_written_as_often_as_taken(docs_of):
+    """The budget ends inside groups of repeated rows, one of which stands in two sources."""
+    rows = [(1, words(10, "x"), "en", "a")] * 37 + [(1, words(10, "x"), "en", "b")] * 23 + [(2, words(10, "y"), "en", None)] * 11
+    docs = docs_of(rows).repartition(5)
+    want = {k: v[0] for k, v in by_source(mixing.mix(docs)).items()}
+    assert any(want[s] // 10 % n for s, n in (("a", 37), ("b", 23), (None, 11)))
+    got = {}
+    for r in mixing.mixed_documents(docs).collect():
+        got[r.source] = got.get(r.source, 0) + len(r.text.split())
+    assert got == want
+
+
 def test_empty_table(docs_of):
     assert mixing.mix(docs_of([])).collect() == []
     assert mixing.mixed_documents(docs_of([])).collect() == []
