@@ -7,13 +7,14 @@ A suffix array of the whole corpus would sort every position. Sorted here are on
    a segment; about one byte in 170 is an anchor. Anchors that occur once in the corpus end here.
 2. *Whole segments.* Where all segments of an anchor are equal, or a segment occurs more than once, every
    window in it is repeated. Sums are taken before rows meet, so copies and common passages are no hot keys.
+   Equal here means equal 64-bit hashes of anchor and segment; bytes are not compared.
 3. *Suffix sort.* The distinct segments of an anchor are sorted by what follows the anchor and by what precedes
    it: a mergesort whose comparisons find the common extension by binary search on prefix polynomial
-   hashes, then look at one byte; the bytes themselves are compared where a result rests on it. Neighbours in
+   hashes, then look at one byte; the bytes of a window are compared before it counts as repeated here. Neighbours in
    both orders tell the longest repeated window to either side, and the windows of a segment all
    hold its anchor, so what they cover is one run.
 4. Anchors with more than GROUP distinct segments (the edges of a very common passage) are not sorted in one task:
-   their windows are counted as rows by a 128-bit hash.
+   their windows are counted as rows by a 128-bit hash; bytes are not compared.
 
 Defined results: texts are UTF-8 bytes, null is empty; matches never cross documents; strings are judged on the
 input. A text shorter than SPAN stays whole. Rows that repeat in full are each other's copies and lose
