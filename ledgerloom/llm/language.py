@@ -4,12 +4,13 @@ A text is first given to a language family, then one-versus-one linear support v
 the languages of that family apart. Features are relative frequencies of hashed byte n-grams of
 the lower-cased text, so a text's score is the mean weight of its n-grams: one look-up table for each machine.
 
-Training takes a bounded sample: for each language the ``per_language`` texts with the smallest hash of their
-id (``TRAIN_PER_LANGUAGE``, documented bound). Features of the sample are computed on Spark and summed up to
+Training takes a bounded sample: for each language the ``per_language`` distinct texts with the smallest hash of their
+id (``TRAIN_PER_LANGUAGE``, documented bound), and ``TRAIN_IN_ALL`` texts of all languages together, the first of
+each language before the second. Features of the sample are computed on Spark and summed up to
 one vector a text; one task trains. Prediction covers every row and whole texts.
 
 Defined results: null text and text without a letter give ``und`` with score 0; with no labelled text at all every
-text gives ``und``; with one language every text with letters gets it. Labels outside FAMILY form the
+text gives ``und``, and the documents kept are those with letters; with one language every text with letters gets it. Labels outside FAMILY form the
 family ``other``. Repeated rows get equal predictions; an empty table gives an empty result.
 """
 
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import in_slices, raw_bytes
 
 TRAIN_PER_LANGUAGE = 500
+TRAIN_IN_ALL = 20_000  # vectors of 16 KB in the one task that trains
 BITS = 12
 UNKNOWN = "und"
 
@@ -181,15 +183,19 @@ def _trained(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def learn(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> dict:
-    """A model from the labelled documents that are not held out; at most per_language texts of each language."""
+    """A model from the labelled documents that are not held out; at most per_language texts of each language.
+
+    Rows that repeat id, language and text count once; ids may be null or repeat.
+    """
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = rows.select("doc_id", "lang", "text", F.xxhash64("text").alias("t"))
     # identifiers first, texts for the chosen ones only
-    order = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = rows.select("doc_id", "lang").withColumn("place", order).where(F.col("place") <= per_language)
-    picked = picked.select(F.col("doc_id").alias("picked_id"), F.col("lang").alias("picked_lang")).distinct()
-    chosen = rows.select("doc_id", "lang", "text").join(
-        picked, (F.col("doc_id") == F.col("picked_id")) & (F.col("lang") == F.col("picked_lang")), "left_semi"
-    )
+    order = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "t"))
+    picked = rows.select("doc_id", "lang", "t").distinct().withColumn("place", order).where(F.col("place") <= per_language)
+    picked = picked.orderBy("place", "lang").limit(TRAIN_IN_ALL)
+    picked = picked.select(F.col("doc_id").alias("picked_id"), F.col("lang").alias("picked_lang"), F.col("t").alias("picked_t"))
+    same = F.col("doc_id").eqNullSafe(F.col("picked_id")) & (F.col("lang") == F.col("picked_lang")) & (F.col("t") == F.col("picked_t"))
+    chosen = rows.join(picked, same, "left_semi").dropDuplicates(["doc_id", "lang", "t"])
     vectors = chosen.select("lang", "text").mapInArrow(_vectors, "lang string, vector binary")
     model = vectors.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(
         lambda frame: _trained(frame[["lang", "vector"]]), "model binary"
@@ -223,12 +229,15 @@ def _in_a_language(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in in_slices(whole, "text", 512 << 10):
-                lang, _ = predict(model, batch.column("text"))
-                yield batch.filter(pa.array([x != UNKNOWN for x in lang]))
+                if model["families"]:
+                    lang, _ = predict(model, batch.column("text"))
+                    yield batch.filter(pa.array([x != UNKNOWN for x in lang]))
+                else:
+                    yield batch.filter(pc.fill_null(pc.match_substring_regex(batch.column("text"), r"\p{L}"), False))
 
     return run
 
 
 def identified_documents(docs: DataFrame) -> DataFrame:
-    """Rows whose text is in some language, with their columns as they were; ``und`` goes."""
+    """Rows whose text is in some language, with their columns as they were; ``und`` goes. Rows with letters where nothing was learned."""
     return docs.mapInArrow(_in_a_language(learn(docs)), docs.schema)

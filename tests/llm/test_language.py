@@ -1,5 +1,8 @@
+import pickle
 import zlib
 
+import pandas as pd
+
 from ledgerloom.llm import language
 
 WORDS = {
@@ -57,3 +60,19 @@ def test_nothing_to_learn_from(docs_of):
 def test_one_language_only(docs_of):
     got = language.identify(docs_of([(i, f"word {i}", "en", "s") for i in range(9)])).collect()
     assert {r.lang_pred for r in got} == {"en"}
+
+
+def test_nothing_learned_keeps_texts_with_letters(docs_of):
+    docs = docs_of([(1, "the cat", None, "s"), (2, "12 !!", None, "s"), (3, None, None, "s"), (4, "der Hund", None, "s")])
+    assert sorted(r.doc_id for r in language.identified_documents(docs).collect()) == [1, 4]
+
+
+def test_null_and_repeated_ids_are_learned_within_the_bounds(docs_of, monkeypatch):
+    """Of null ids in repeated rows every language is learned, and the one task gets each text once, TRAIN_IN_ALL at most."""
+    made = docs_of([(None, text, lang, s) for _, text, lang, s in rows(60)] * 3)
+    assert language.learn(made)["languages"] == {"germanic": ["de", "en"], "romance": ["es", "fr"]}
+    monkeypatch.setattr(language, "_trained", lambda frame: pd.DataFrame({"model": [pickle.dumps(len(frame))]}))
+    different = len({(text, lang) for _, text, lang, _ in rows(60)})
+    assert language.learn(docs_of([(1, text, lang, s) for _, text, lang, s in rows(60)] * 3)) == different
+    monkeypatch.setattr(language, "TRAIN_IN_ALL", 8)
+    assert language.learn(made) == 8
