@@ -1,0 +1,5 @@
+"""Places that the tests read."""
+
+import os
+
+FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")

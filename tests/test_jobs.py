@@ -5,7 +5,7 @@ import shutil
 
 import pytest
 
-from conftest import FIXTURES
+from paths import FIXTURES
 from ledgerloom import jobs
 from ledgerloom.sinks.publish import read_published
 

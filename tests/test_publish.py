@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FIXTURES
+from paths import FIXTURES
 from ledgerloom import fixed_values as fixed
 from ledgerloom.plans import aid, reconcile, second_source, trade
 from ledgerloom.sinks import publish

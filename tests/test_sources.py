@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FIXTURES
+from paths import FIXTURES
 from ledgerloom import schemas
 from ledgerloom.sources import audit, envelopes, rates, sdmx, trade_files
 from ledgerloom.streaming import incremental

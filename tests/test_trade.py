@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import FIXTURES
+from paths import FIXTURES
 from ledgerloom import fixed_values as fixed
 from ledgerloom.plans import releases, trade
 from ledgerloom.sources import rates, sdmx, trade_files
