@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, exact_dedup, fingerprints, language, mixing, near_dedup, packing, repeats, token_files, warc
+from ledgerloom.llm import (
+    chat, exact_dedup, fingerprints, language, manifest, mixing, near_dedup, packing, repeats, secrets, token_files, warc, whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +62,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; where 5 divides the crc32 of the id, the shown text is in lower case."""
+    tampered = manifest.lowered_text(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    return manifest.manifest_report(_table(spark, sf_dir, "documents"), tampered)
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
@@ -71,6 +87,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_manifest": op12_manifest,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLES = {
@@ -147,3 +166,107 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM normal n JOIN groups g ON n.body = g.body
 """,
 }
+
+
+def _secrets_sql() -> str:
+    """Matches and what stands between them, their lengths added up; the same rules, letters in either case spelt out."""
+    parts = []
+    for place, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        head, _, tail = pattern.partition("(?i:")
+        if tail:
+            words, _, rest = tail.partition(")")
+            pattern = head + "(?:" + "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words) + ")" + rest
+        parts.append(
+            f"SELECT rid, {place} AS rule, '{rule.kind}' AS kind, {rule.least} AS least, regexp_extract_all(text, '{pattern}', 0) AS m,"
+            f" regexp_extract_all(text, '{pattern}', {rule.group}) AS g, string_split_regex(text, '{pattern}') AS b FROM docs"
+        )
+    matches = "\n  UNION ALL ".join(parts)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({matches}),
+spans AS (
+  SELECT rid, rule, kind, least, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+    'start': list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
+    'size': length(m[i]), 'held': length(g[i])}})) AS s
+  FROM matches WHERE len(m) > 0),
+kept AS (
+  SELECT rid, rule, s.start AS start, kind || ':' || s.start::BIGINT || ':' || (s.start + s.size)::BIGINT AS span
+  FROM spans WHERE s.held >= least),
+written AS (
+  SELECT rid, count(*) FILTER (rule = 0) AS n_assign, count(*) FILTER (rule = 1) AS n_access, count(*) FILTER (rule = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY start, rule) FILTER (rule < 3) AS base, string_agg(span, ',' ORDER BY start, rule) AS spans
+  FROM kept GROUP BY rid)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN written w ON d.rid = w.rid
+"""
+
+
+def _manifest_sql(levels: int = 8) -> str:
+    """The trees as lists, level by level, enough of them for 16 ** levels documents of a source."""
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value})::VARCHAR || ':' || {value}, '-')"
+
+    head = " || ".join(field(f"{c}::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = (
+        "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),"
+        " lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda r, i: xor(r >> 1, (r & 1) * 3988292384))),"
+        " 4294967295)"
+    )
+
+    def grown(table: str, name: str) -> str:
+        above = []
+        for k in range(levels):
+            before = f"{name}{k}" if k else table
+            above.append(
+                f"{name}{k + 1} AS (SELECT *, CASE WHEN len(l{k}) <= 1 THEN l{k} ELSE list_transform(range(0, len(l{k}), 16),"
+                f" lambda i: sha256(array_to_string(l{k}[i + 1:i + 16], ''))) END AS l{k + 1} FROM {before})"
+            )
+        return ",\n".join(above)
+
+    def steps(place: str, level: str) -> list[tuple[str, str, str]]:
+        """Of each level: is the tree at its top, what stands left, what stands right."""
+        found = []
+        for k in range(levels):
+            at = f"({place} // {16 ** k})"
+            first = f"({at} // 16 * 16)"
+            found.append((
+                f"len({level}{k}) <= 1", f"array_to_string({level}{k}[{first} + 1:{at}], '')",
+                f"array_to_string({level}{k}[{at} + 2:{first} + 16], '')",
+            ))
+        return found
+
+    way = [*steps("place", "l"), *steps("number", "tl")]
+    folds = [
+        f"fold{k + 1} AS (SELECT *, CASE WHEN {top} THEN d{k} ELSE sha256({left} || d{k} || {right}) END AS d{k + 1}"
+        f" FROM {f'fold{k}' if k else 'joined'})"
+        for k, (top, left, right) in enumerate(way)
+    ]
+    proof = " || ".join(f"CASE WHEN {top} THEN '' ELSE {left} || {right} END" for top, left, right in way)
+    tree_columns = ", ".join(f"s.l{k}" for k in range(levels + 1))
+    top_columns = ", ".join(f"t.l{k} AS tl{k}" for k in range(levels + 1))
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, source, sha256({head} || {field('text')}) AS leaf,
+         CASE WHEN {crc} % 5 = 0 THEN sha256({head} || {field(lowered)}) ELSE sha256({head} || {field('text')}) END AS shown
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS place FROM leaves),
+trees AS (SELECT source, list(leaf ORDER BY place) AS l0 FROM placed GROUP BY source),
+{grown('trees', 'tree')},
+sources AS (SELECT *, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS number FROM tree{levels}),
+top AS (SELECT list(l{levels}[1] ORDER BY number) AS l0 FROM sources),
+{grown('top', 'top')},
+joined AS (
+  SELECT p.doc_id, p.leaf, p.shown AS d0, p.place, s.number, {tree_columns}, {top_columns}
+  FROM placed p JOIN sources s ON p.source IS NOT DISTINCT FROM s.source, top{levels} t),
+{(',' + chr(10)).join(folds)}
+SELECT doc_id, leaf, l{levels}[1] AS subroot, tl{levels}[1] AS root, sha256({proof}) AS proof_sha256, d{2 * levels} AS folded_root,
+       d{2 * levels} = tl{levels}[1] AS verified
+FROM fold{2 * levels}
+"""
+
+
+ORACLES |= {"op12_manifest": _manifest_sql(), "op13_secrets": _secrets_sql()}
