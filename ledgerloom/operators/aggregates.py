@@ -11,6 +11,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.operators.dims import lookup
+from ledgerloom.operators.quantiles import exact_median
+from ledgerloom.session import cut
 
 
 def total(c: Column) -> Column:
@@ -84,8 +86,8 @@ def top_and_others(
     The row of the rest always exists and is marked by ``is_others``, so that a real
     member of that name stays apart from it. ``position`` gives the published order.
 
-    The largest rows are broadcast (n at most) and carry all measures, and the final sums
-    take theirs from there: both uses of ``df`` then need the same columns, and Spark
+    The largest rows carry all measures, and the final sums
+    take theirs from there; their limit tells the optimizer how few they are. Both uses of ``df`` then need the same columns, and Spark
     computes it once and reuses the exchange.
     """
     order = [F.col(by).desc_nulls_last(), F.col(key).asc_nulls_last()]
@@ -93,7 +95,7 @@ def top_and_others(
         F.row_number().over(Window.orderBy(*order)).alias("position"),  # over n rows
         F.col(key).alias("_top"), *[F.col(m).alias(f"_top_{m}") for m in measures],
     )
-    marked = df.join(F.broadcast(top), F.col(key).eqNullSafe(F.col("_top")), "left")
+    marked = df.join(top, F.col(key).eqNullSafe(F.col("_top")), "left")
     in_top = F.col("position").isNotNull()
     parts = marked.select(
         F.coalesce("position", F.lit(n + 1)).alias("position"),
@@ -111,11 +113,16 @@ def top_and_others(
 
 
 def gap_spread(df: DataFrame, percent: str) -> DataFrame:
-    """Count, sample deviation and exact median of the gaps that exist."""
-    return df.agg(
-        F.count(percent).alias("n_gaps"),
-        F.stddev_samp(percent).alias("spread"),
-        F.median(percent).alias("median_gap"),
+    """Count, sample deviation and exact median of the gaps that exist.
+
+    The gaps are written once, since the median reads them several times.
+    """
+    gaps = cut(df.select(F.col(percent).cast("double").alias("gap")).where("gap IS NOT NULL"))
+    median = exact_median(gaps, "gap")
+    return gaps.agg(
+        F.count("gap").alias("n_gaps"),
+        F.stddev_samp("gap").alias("spread"),
+        F.lit(median).cast("double").alias("median_gap"),
     )
 
 

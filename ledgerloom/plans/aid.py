@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom import fixed_values as fixed
 from ledgerloom.functions import clean, money, rules
@@ -215,6 +215,11 @@ def spend_per_activity(trans: DataFrame, dated_only: bool = False) -> DataFrame:
     )
 
 
+def summary_order() -> list[Column | str]:
+    """Largest spend first, then by the keys."""
+    return [F.col("total_usd").desc_nulls_last(), "region_bailleur", "pays_bailleur", "type_bailleur"]
+
+
 def donor_summary(tables: AidTables, code: str = fixed.COUNTRY_CODE) -> DataFrame:
     """Weighted, dated spend by donor region, country and class, with money texts."""
     donors = with_funder(first_per_key(tables.act, ["aid"], ["ord"])).select(
@@ -235,7 +240,7 @@ def donor_summary(tables: AidTables, code: str = fixed.COUNTRY_CODE) -> DataFram
         "text_usd": money.usd_text(F.col("total_usd")),
         "text_eur": money.eur_text(F.col("total_eur")),
         "text_kmf": money.kmf_text(F.col("total_kmf")),
-    }).orderBy(F.col("total_usd").desc_nulls_last())
+    }).orderBy(*summary_order())
 
 
 def donor_totals(summary: DataFrame) -> DataFrame:

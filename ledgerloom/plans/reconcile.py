@@ -7,7 +7,7 @@ transactions joins as one row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom import fixed_values as fixed
 from ledgerloom.functions import clean, gaps
@@ -23,6 +23,14 @@ from ledgerloom.plans.aid import AidTables, conditional_spend
 from ledgerloom.plans.second_source import SecondTables, is_spend
 
 
+def exclusive_order() -> list[Column | str]:
+    return [F.col("total_usd").desc(), "aid"]
+
+
+def missing_order() -> list[Column | str]:
+    return [F.col("total_de_usd").desc_nulls_last(), "iati_identifier"]
+
+
 # ------------------------------------------------------------------ keys and spend of each side
 
 def first_keys(first: AidTables, code: str) -> DataFrame:
@@ -225,7 +233,7 @@ def exclusive_value(first: AidTables, second: SecondTables, code: str = fixed.CO
     acts = first_activities(first, code).select("aid").distinct().withColumn("_id", clean.stripped(F.col("aid")))
     alone = excluded(acts.where("_id IS NOT NULL"), second_identifiers(second, code), "_id", "identifier")
     spend = restricted(first_spend(first.trans), alone, "aid")
-    return spend.withColumnRenamed("dp_usd", "total_usd").orderBy(F.col("total_usd").desc(), "aid")
+    return spend.withColumnRenamed("dp_usd", "total_usd").orderBy(*exclusive_order())
 
 
 def exclusive_total(value: DataFrame) -> DataFrame:
@@ -315,7 +323,7 @@ def missing_detail(flagged: DataFrame) -> DataFrame:
         F.col("day_start").alias("start_date"),
         F.col("day_end").alias("end_date"),
         "disbursements_usd", "expenditures_usd", "total_de_usd",
-    ).orderBy(F.col("total_de_usd").desc_nulls_last(), "iati_identifier")
+    ).orderBy(*missing_order())
 
 
 def missing_by_publisher(flagged: DataFrame) -> DataFrame:

@@ -13,9 +13,13 @@ def of_reporter(releases: DataFrame, reporter: int = fixed.COUNTRY_M49) -> DataF
     return releases.where(F.col("reporterCode") == reporter)
 
 
-def latest_first(releases: DataFrame, *more: Column | str) -> DataFrame:
+def newest() -> Column:
     """Newest period first; a missing period sorts as an empty text."""
-    return releases.orderBy(*more, F.coalesce("period", F.lit("")).desc())
+    return F.coalesce("period", F.lit("")).desc()
+
+
+def latest_first(releases: DataFrame, *more: Column | str) -> DataFrame:
+    return releases.orderBy(*more, newest())
 
 
 def loaded_releases(releases: DataFrame, records: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom import fixed_values as fixed
 from ledgerloom.functions import clean, money, rules
@@ -52,9 +52,13 @@ def both_flows(exports: DataFrame, imports: DataFrame) -> DataFrame:
     return stacked(exports, imports)
 
 
+def published_order() -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in SORTED_BY]
+
+
 def in_published_order(published: DataFrame) -> DataFrame:
     """Sorted for publication; a distributed range sort."""
-    return published.orderBy(*[F.col(c).asc_nulls_last() for c in SORTED_BY])
+    return published.orderBy(*published_order())
 
 
 def statistics(published: DataFrame) -> DataFrame:

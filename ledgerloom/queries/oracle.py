@@ -553,4 +553,19 @@ SELECT o_custkey, year(o_orderdate) AS annee, min(o_totalprice) AS taux FROM ord
 GROUP BY 1, 2 HAVING NOT bool_and(o_orderpriority = '1-URGENT')""",
 }
 
+#: The place of each row in published order, over the rows of another twin.
+ORDERS = {
+    "donor_summary": "total_usd DESC NULLS LAST, region_bailleur NULLS FIRST, pays_bailleur NULLS FIRST, type_bailleur NULLS FIRST",
+    "trade_facts": "flux NULLS LAST, annee NULLS LAST, section_code NULLS LAST, partenaire_code_iso3 NULLS LAST",
+    "year_gap": "year NULLS FIRST",
+    "exclusive_value": "total_usd DESC NULLS LAST, aid",
+    "missing_detail": "total_de_usd DESC NULLS LAST, iati_identifier NULLS FIRST",
+    "registry_status": "identifier",
+    "latest_releases": "\"reporterCode\", coalesce(period, '') DESC",
+}
+BODIES |= {
+    f"{name}_ordered": f"SELECT row_number() OVER (ORDER BY {order}) AS position, * FROM ({BODIES[name]}) lines"
+    for name, order in ORDERS.items()
+}
+
 ORACLES = {name: _statement(body) for name, body in BODIES.items()}

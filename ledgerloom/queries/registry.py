@@ -427,6 +427,47 @@ def code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return releases.search_codes(standins.code_list(spark, sf_dir), prefix="1", contains="RING")
 
 
+# ------------------------------------------------------------------ published order
+
+@query
+def donor_summary_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The donor summary with the place of each line, largest spend first."""
+    return rank.positioned(donor_summary(spark, sf_dir), aid.summary_order())
+
+
+@query
+def trade_facts_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trade dataset with the place of each row in published order."""
+    facts = trade.facts(standins.observations(spark, sf_dir), rates.fallback_rates(spark))
+    return rank.positioned(facts.drop("date_extraction"), trade.published_order())
+
+
+@query
+def year_gap_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank.positioned(year_gap(spark, sf_dir), ["year"])
+
+
+@query
+def exclusive_value_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank.positioned(exclusive_value(spark, sf_dir), reconcile.exclusive_order())
+
+
+@query
+def missing_detail_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank.positioned(missing_detail(spark, sf_dir), reconcile.missing_order())
+
+
+@query
+def registry_status_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank.positioned(registry_status(spark, sf_dir), ["identifier"])
+
+
+@query
+def latest_releases_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases still to load with their place, newest period first in each reporter."""
+    return rank.positioned(latest_releases(spark, sf_dir), ["reporterCode", releases.newest()])
+
+
 # ------------------------------------------------------------------ unions, pages, envelopes, documents
 
 @query

@@ -50,11 +50,16 @@ def build_session(
     return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; one of our own only on a local master."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder named by the cluster, if there is one."""
+    return spark.conf.get("spark.checkpoint.dir", None) or None
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by the cluster or set before; one of our own only where none is, on a local master."""
+    folder = checkpoint_dir(spark) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("name a shared folder in spark.checkpoint.dir")
     return "file://" + tempfile.mkdtemp(prefix="run-")
@@ -64,5 +69,5 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows, written once to the shared checkpoint folder; later steps read them from there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
