@@ -12,156 +12,147 @@ or, in a local session, ``python -m ledgerloom.jobs <job> ...``. Landing layout:
     releases/*.json, bulk/*.csv                               releases, and their files
     registry/ (Parquet)                                       identifier registry snapshot
 
-Where several reports need one intermediate result it is written as a table and read
-back, so it is computed once and outlives its executors.
+Raw files are parsed once, by whichever job comes first (:mod:`ledgerloom.landing`). A job's datasets are one version of
+its product (:mod:`ledgerloom.sinks.versions`): written one after the other, each read back where a later one needs it,
+and shown to readers together at the end, unless an input that must have rows has none.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession, functions as F
 
-from ledgerloom import fixed_values as fixed, schemas
+from ledgerloom import fixed_values as fixed, landing, schemas
+from ledgerloom.operators.rank import positioned
+from ledgerloom.operators.select import with_constants
 from ledgerloom.plans import aid, reconcile, releases, second_source, trade
-from ledgerloom.plans.aid import AidTables
-from ledgerloom.plans.second_source import SecondTables
 from ledgerloom.session import build_session
-from ledgerloom.sinks.publish import (
-    publish_aid, publish_comparison, publish_tracker, publish_trade, read_published, write,
-)
-from ledgerloom.sources import envelopes, rates, sdmx, trade_files
+from ledgerloom.sinks.publish import publish_aid, publish_comparison, publish_tracker, publish_trade
+from ledgerloom.sinks.versions import Version
+from ledgerloom.sources import rates, sdmx, trade_files
 from ledgerloom.streaming import incremental
 
 
-def first_source(spark: SparkSession, landed: str) -> AidTables:
-    def table(name: str, schema) -> DataFrame:
-        return envelopes.read_object_table(spark, f"{landed}/first/{name}", schema)
-
-    return AidTables(
-        act=table("act", schemas.ACT),
-        translation=envelopes.read_translated_table(
-            spark, f"{landed}/first/act_translated", schemas.ACT_TRANSLATION, "fr"
-        ),
-        country=table("country", schemas.COUNTRY),
-        sector=table("sector", schemas.SECTOR),
-        budget=table("budget", schemas.BUDGET),
-        trans=table("trans", schemas.TRANS),
-        location=table("location", schemas.LOCATION),
-    )
-
-
-def second_source_tables(spark: SparkSession, landed: str) -> SecondTables:
-    def table(name: str, schema) -> DataFrame:
-        return envelopes.read_array_table(spark, f"{landed}/second/{name}", schema)
-
-    return SecondTables(
-        activity=table("activity", schemas.T_ACTIVITY),
-        recipient=table("recipientcountry", schemas.T_RECIPIENT),
-        breakdown=table("transaction_breakdown", schemas.T_BREAKDOWN),
-        budget=table("budget", schemas.T_BUDGET),
-    )
-
-
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """The rows as a written table."""
-    write(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def aid_job(spark: SparkSession, landed: str, out: str) -> None:
-    """The aid dataset, the donor summary and the report of the largest funders."""
-    tables = first_source(spark, landed)
-    publish_aid(aid.dataset(tables, prefilter=True), f"{out}/aid")
-    summary = stored(aid.donor_summary(tables), f"{out}/aid/donor_summary")
-    write(aid.donor_totals(summary), f"{out}/aid/donor_totals")
-    published = read_published(spark, f"{out}/aid")
-    report = stored(aid.donor_report(published).orderBy("position"), f"{out}/aid/donor_report")
-    write(aid.report_totals(report, published), f"{out}/aid/donor_report_totals")
+    """The aid dataset, the donor summary, the places and the report of the largest funders."""
+    tables, rows = landing.first_source(spark, landed, out)
+    version = Version(spark, f"{out}/aid")
+    published = publish_aid(version, aid.dataset(tables, prefilter=True))
+    ordered = positioned(aid.donor_summary(tables), aid.summary_order())
+    summary = version.add("donor_summary", ordered, sorted_by=["position"])
+    version.add("donor_totals", aid.donor_totals(summary))
+    report = version.add("donor_report", aid.donor_report(published), sorted_by=["position"])
+    version.add("donor_report_totals", aid.report_totals(report, published))
+    version.commit(rows, required=[name for name in rows if name != "translation"])
 
 
 def counts_job(spark: SparkSession, landed: str, out: str) -> None:
     """Figures over activities with this country as the only recipient."""
-    tables = first_source(spark, landed)
-    write(aid.status_counts(tables), f"{out}/counts/by_status")
-    write(aid.sector_activity_count(tables), f"{out}/counts/sector")
-    write(aid.commitment_total(tables), f"{out}/counts/commitments")
+    tables, rows = landing.first_source(spark, landed, out)
+    version = Version(spark, f"{out}/counts")
+    version.add("by_status", aid.status_counts(tables))
+    version.add("sector", aid.sector_activity_count(tables))
+    version.add("commitments", aid.commitment_total(tables))
+    version.commit(rows, required=["act", "country", "sector", "trans"])
 
 
 def trade_job(spark: SparkSession, landed: str, out: str) -> None:
-    """The trade dataset, its statistics and an audit of the landed sections."""
-    series = sdmx.read_series(spark, f"{landed}/trade", audit=True)
-    audit = sdmx.section_audit(series, ["flux", "section_code"])
+    """The trade dataset, its statistics, an audit of the landed sections and what could not be read in them."""
+    series = landing.land_series(spark, f"{landed}/trade", f"{out}/landed/trade")
+    version = Version(spark, f"{out}/trade")
     sections = [code for code, _ in fixed.pairs(fixed.HS_SECTIONS)]
-    write(sdmx.with_absent_sections(audit, ["X", "M"], sections), f"{out}/trade/audit")
-    readable = series.where("_corrupt_record IS NULL").drop("_corrupt_record")
-    observations = sdmx.flatten_series(readable, keep=["flux", "section_code"])
+    version.add("audit", sdmx.with_absent_sections(series.sections, ["X", "M"], sections))
+    version.add("unreadable", series.unreadable)
     live = rates.read_rates(spark, f"{landed}/rates")
-    facts = trade.facts(observations, rates.rates_or_fallback(live, rates.fallback_rates(spark)))
-    publish_trade(facts, f"{out}/trade")
-    write(trade.statistics(read_published(spark, f"{out}/trade")), f"{out}/trade/statistics")
+    facts = publish_trade(
+        version, trade.facts(series.observations, rates.rates_or_fallback(live, rates.fallback_rates(spark)))
+    )
+    version.add("statistics", trade.statistics(facts))
+    observations = series.sections.agg(F.sum("n_obs")).first()[0] or 0
+    version.commit({"observations": observations}, required=["observations"])
 
 
 def comparison_job(spark: SparkSession, landed: str, out: str) -> None:
-    """The dataset of the second source and its two summaries."""
-    base = f"{out}/second_source"
-    publish_comparison(second_source.dataset(second_source_tables(spark, landed)), base)
-    published = spark.read.parquet(f"{base}/comparison")
-    write(second_source.spend_total(published), f"{base}/total")
-    write(second_source.spend_by_status(published), f"{base}/by_status")
-    write(second_source.multi_country_split(published), f"{base}/multi_country")
+    """The dataset of the second source and its summaries."""
+    tables, rows = landing.second_source(spark, landed, out)
+    version = Version(spark, f"{out}/second_source")
+    published = publish_comparison(version, second_source.dataset(tables))
+    version.add("total", second_source.spend_total(published))
+    version.add("by_status", second_source.spend_by_status(published))
+    version.add("multi_country", second_source.multi_country_split(published))
+    version.commit(rows, required=["activity", "recipientcountry"])
+
+
+def both_sources(spark: SparkSession, landed: str, out: str, version: Version):
+    """The tables of both sources with their key sets, each computed once, and the rows of every input."""
+    first, first_rows = landing.first_source(spark, landed, out)
+    second, second_rows = landing.second_source(spark, landed, out)
+    first = landing.with_keys(first, version.add("first_keys", reconcile.first_keys(first, fixed.COUNTRY_CODE)))
+    second = landing.with_keys(second, version.add("second_keys", reconcile.second_keys(second, fixed.COUNTRY_CODE)))
+    rows = {f"first {n}": r for n, r in first_rows.items()} | {f"second {n}": r for n, r in second_rows.items()}
+    return first, second, rows
+
+
+#: What the comparisons cannot do without.
+COMPARED = ["first act", "first country", "first trans", "second activity", "second recipientcountry"]
 
 
 def reconcile_job(spark: SparkSession, landed: str, out: str) -> None:
     """Totals, years, largest activities and identifier sets of both sources."""
-    first, second = first_source(spark, landed), second_source_tables(spark, landed)
-    base = f"{out}/reconciliation"
-    write(reconcile.total_gap(first, second), f"{base}/total")
-    write(reconcile.total_check(second), f"{base}/total_check")
-    years = stored(reconcile.year_gap(first, second), f"{base}/years")
-    write(reconcile.year_dispersion(years), f"{base}/year_dispersion")
-    spot = stored(reconcile.spot_check(first, second), f"{base}/spot_check")
-    write(reconcile.spot_counts(spot), f"{base}/spot_counts")
-    sets = stored(reconcile.id_sets(first, second), f"{base}/identifiers")
-    write(reconcile.id_verdict(sets), f"{base}/identifier_verdict")
-    value = stored(reconcile.exclusive_value(first, second), f"{base}/only_first")
-    write(reconcile.exclusive_total(value), f"{base}/only_first_total")
-    write(reconcile.exclusive_second(first, second), f"{base}/only_second")
-    shared = stored(reconcile.shared_gaps(first, second), f"{base}/shared")
-    write(reconcile.shared_top(shared), f"{base}/shared_top")
-    write(reconcile.shared_dispersion(shared), f"{base}/shared_dispersion")
+    version = Version(spark, f"{out}/reconciliation")
+    first, second, rows = both_sources(spark, landed, out, version)
+    version.add("total", reconcile.total_gap(first, second))
+    version.add("total_check", reconcile.total_check(second))
+    years = version.add("years", reconcile.year_gap(first, second), sorted_by=["year"])
+    version.add("year_dispersion", reconcile.year_dispersion(years))
+    spot = version.add("spot_check", reconcile.spot_check(first, second))
+    version.add("spot_counts", reconcile.spot_counts(spot))
+    sets = version.add("identifiers", reconcile.id_sets(first, second))
+    version.add("identifier_verdict", reconcile.id_verdict(sets))
+    ordered = positioned(reconcile.exclusive_value(first, second), reconcile.exclusive_order())
+    value = version.add("only_first", ordered, sorted_by=["position"])
+    version.add("only_first_total", reconcile.exclusive_total(value))
+    version.add("only_second", reconcile.exclusive_second(first, second))
+    shared = version.add("shared", reconcile.shared_gaps(first, second))
+    version.add("shared_top", reconcile.shared_top(shared))
+    version.add("shared_dispersion", reconcile.shared_dispersion(shared))
+    version.commit(rows, required=COMPARED)
 
 
 def tracker_job(spark: SparkSession, landed: str, out: str) -> None:
-    """A dated snapshot of the activities that the second source lacks."""
-    flagged = reconcile.tracked(first_source(spark, landed), second_source_tables(spark, landed))
-    publish_tracker(flagged, f"{out}/tracker")
+    """A dated snapshot of the activities that the second source lacks; versions are the history."""
+    version = Version(spark, f"{out}/tracker")
+    first, second, rows = both_sources(spark, landed, out, version)
+    publish_tracker(version, reconcile.tracked(first, second))
+    version.commit(rows, required=COMPARED)
 
 
 def registry_job(spark: SparkSession, landed: str, out: str) -> None:
     """What the registry snapshot knows about the missing activities."""
+    version = Version(spark, f"{out}/registry")
+    first, second, rows = both_sources(spark, landed, out, version)
     registry = spark.read.schema(schemas.REGISTRY).parquet(f"{landed}/registry")
-    status = reconcile.registry_status(
-        first_source(spark, landed), second_source_tables(spark, landed), registry
-    )
-    status = stored(status, f"{out}/registry/status")
-    write(reconcile.registry_counts(status), f"{out}/registry/counts")
+    status = positioned(reconcile.registry_status(first, second, registry), ["identifier"])
+    status = version.add("status", status, sorted_by=["position"])
+    version.add("counts", reconcile.registry_counts(status))
+    version.commit(rows, required=COMPARED)
 
 
 def releases_job(spark: SparkSession, landed: str, out: str) -> None:
     """Load the bulk files that have landed, then list the releases still to load.
 
-    Files land as ``bulk/<reporter>_<period>.csv``; the manifest of loaded releases, ``<out>/releases/loaded``,
-    holds the releases whose file is in the loaded rows.
+    Files land as ``bulk/<reporter>_<period>.csv``; the manifest of loaded files, empty ones included, says
+    which releases are loaded.
     """
-    listed = releases.of_reporter(trade_files.read_releases(spark, f"{landed}/releases"))
     base = f"{out}/releases"
-    incremental.load_new_files(spark, f"{landed}/bulk", schemas.RECORDS, f"{base}/records", "bulk", f"{base}/progress")
-    with_file = schemas.T.StructType([*schemas.RECORDS, schemas.T.StructField("source_file", schemas.T.StringType())])
-    records = spark.read.schema(with_file).parquet(f"{base}/records")
-    loaded = stored(releases.loaded_releases(listed, records), f"{base}/loaded")
-    waiting = releases.pending(listed, loaded).withColumn("found_on", F.current_date())
-    write(releases.latest_first(waiting), f"{out}/releases/pending")
+    incremental.load_landed(spark, f"{landed}/bulk", schemas.RECORDS, f"{base}/bulk")
+    version = Version(spark, base)
+    listed = releases.of_reporter(trade_files.read_releases(spark, f"{landed}/releases"))
+    loaded = version.add("loaded", releases.loaded_releases(listed, incremental.manifest(spark, f"{base}/bulk")))
+    waiting = with_constants(releases.pending(listed, loaded), found_on=F.current_date())
+    version.add("pending", positioned(waiting, [releases.newest(), "reporterCode"]), sorted_by=["position"])
+    version.commit()
 
 
 JOBS = {

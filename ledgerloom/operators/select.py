@@ -20,6 +20,7 @@ def in_order(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def with_constants(df: DataFrame, **values: object) -> DataFrame:
+    """The same value in every row; a value may be an expression, such as the day of the run."""
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 

@@ -34,11 +34,13 @@ def missing_order() -> list[Column | str]:
 # ------------------------------------------------------------------ keys and spend of each side
 
 def first_keys(first: AidTables, code: str) -> DataFrame:
-    return single_country.by_full_or_missing_share(first.country, code)
+    known = getattr(first, "keys", None) if code == fixed.COUNTRY_CODE else None
+    return single_country.by_full_or_missing_share(first.country, code) if known is None else known
 
 
 def second_keys(second: SecondTables, code: str) -> DataFrame:
-    return single_country.by_single_row(second.recipient, code)
+    known = getattr(second, "keys", None) if code == fixed.COUNTRY_CODE else None
+    return single_country.by_single_row(second.recipient, code) if known is None else known
 
 
 def first_spend(trans: DataFrame) -> DataFrame:

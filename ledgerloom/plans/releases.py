@@ -22,9 +22,9 @@ def latest_first(releases: DataFrame, *more: Column | str) -> DataFrame:
     return releases.orderBy(*more, newest())
 
 
-def loaded_releases(releases: DataFrame, records: DataFrame) -> DataFrame:
-    """Reporter and period of the releases whose file ``<reporter>_<period>.csv`` is among the loaded rows."""
-    files = records.select(F.regexp_extract("source_file", r"^(.*?)\.csv", 1).alias("_name")).distinct()
+def loaded_releases(releases: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Reporter and period of the releases whose file ``<reporter>_<period>.csv`` is in the manifest, with rows or without."""
+    files = manifest.select(F.regexp_extract("file_name", r"^(.*?)\.csv", 1).alias("_name")).distinct()
     name = F.concat_ws("_", F.col("reporterCode").cast("string"), "period")
     return releases.select("reporterCode", "period").distinct().join(files, name == F.col("_name"), "left_semi")
 

@@ -24,6 +24,7 @@ class SecondTables:
     recipient: DataFrame
     breakdown: DataFrame
     budget: DataFrame
+    keys: DataFrame | None = None  # of activities with this country alone, where they were written once
 
 
 def is_spend(code: str) -> Column:

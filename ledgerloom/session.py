@@ -8,6 +8,7 @@ of shuffle partitions follows the input: see :func:`shuffle_partitions_for`.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +66,13 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + tempfile.mkdtemp(prefix="run-")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table below the shared folder, read back: its size is known to the optimizer."""
+    folder = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written once to the shared checkpoint folder; later steps read them from there."""
     context = df.sparkSession.sparkContext

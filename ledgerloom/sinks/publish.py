@@ -1,12 +1,14 @@
-"""Published products: a folder of named datasets in place of a workbook of sheets."""
+"""Published products: versions of named datasets in place of a workbook of sheets."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom import fixed_values as fixed
-from ledgerloom.operators.select import run_date
-from ledgerloom.plans import reconcile
+from ledgerloom.operators.rank import positioned
+from ledgerloom.operators.select import run_date, with_constants
+from ledgerloom.plans import reconcile, trade
+from ledgerloom.sinks.versions import Version, read_version
 
 
 class UndocumentedColumn(ValueError):
@@ -27,38 +29,23 @@ def documented(df: DataFrame, block: str) -> DataFrame:
     return df.select(*[F.col(c).alias(c, metadata={"comment": described[c]}) for c in df.columns])
 
 
-def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Write a dataset.
-
-    Before a partitioned write the rows are rebalanced by the partition columns: AQE puts
-    small folders together in one task and splits a large one over several, so there are
-    neither many small files nor one task with a third of the rows.
-    """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-
-
 def publish(
-    df: DataFrame, path: str, block: str, fmt: str = "parquet", partition_by: list[str] | None = None
-) -> None:
-    """Data and its dictionary: ``<path>/data`` and ``<path>/metadata``."""
-    write(documented(df, block), f"{path}/data", fmt, partition_by)
-    write(dictionary(df.sparkSession, block).coalesce(1), f"{path}/metadata", fmt)
+    version: Version, df: DataFrame, block: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+    sorted_by: list[str] | None = None,
+) -> DataFrame:
+    """Data and its dictionary, as ``data`` and ``metadata`` of a version; the data as written."""
+    data = version.add("data", documented(df, block), fmt, partition_by, sorted_by)
+    version.add("metadata", dictionary(df.sparkSession, block).coalesce(1), fmt)
+    return data
 
 
-def publish_aid(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    publish(df, path, fixed.AID_COLUMNS, fmt)
+def publish_aid(version: Version, df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    return publish(version, df, fixed.AID_COLUMNS, fmt)
 
 
-def publish_trade(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def publish_trade(version: Version, df: DataFrame, fmt: str = "parquet") -> DataFrame:
     """Trade facts by year and flow, so that readers of one year or flow prune the rest."""
-    publish(df, path, fixed.TRADE_COLUMNS, fmt, ["annee", "flux"])
+    return publish(version, df, fixed.TRADE_COLUMNS, fmt, ["annee", "flux"], trade.SORTED_BY)
 
 
 def comparison_notes(spark: SparkSession) -> DataFrame:
@@ -69,27 +56,24 @@ def comparison_notes(spark: SparkSession) -> DataFrame:
     return notes.unionByName(run)
 
 
-def publish_comparison(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    write(df, f"{path}/comparison", fmt)
-    write(comparison_notes(df.sparkSession).coalesce(1), f"{path}/notes", fmt)
+def publish_comparison(version: Version, df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    data = version.add("comparison", df, fmt)
+    version.add("notes", comparison_notes(df.sparkSession).coalesce(1), fmt)
+    return data
 
 
-def publish_tracker(flagged: DataFrame, path: str) -> None:
-    """A dated snapshot of the missing-activity tracker.
+def publish_tracker(version: Version, flagged: DataFrame) -> None:
+    """A snapshot of the missing-activity tracker, with its date.
 
     The flagged activities are written first; the three reports read that table, so the
     comparison itself runs once and survives the loss of executors.
     """
-    spark = flagged.sparkSession
-    day = spark.range(1).select(run_date().alias("d")).first()["d"]
-    base = f"{path}/run_date={day}"
-    write(flagged, f"{base}/activities", partition_by=["in_second"])
-    stored = spark.read.schema(flagged.schema).parquet(f"{base}/activities")
-    write(reconcile.missing_detail(stored), f"{base}/missing")
-    write(reconcile.missing_by_publisher(stored), f"{base}/by_publisher")
-    write(reconcile.missing_summary(reconcile.missing_figures(stored)), f"{base}/summary")
-
-
-def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
-    return reader.format(fmt).load(f"{path}/data")
+    stored = version.add("activities", with_constants(flagged, run_date=run_date()), partition_by=["in_second"])
+    version.add("missing", positioned(reconcile.missing_detail(stored), reconcile.missing_order()), sorted_by=["position"])
+    version.add("by_publisher", reconcile.missing_by_publisher(stored))
+    version.add("summary", reconcile.missing_summary(reconcile.missing_figures(stored)))
+
+
+def read_published(spark: SparkSession, path: str, name: str = "data", ordered: bool = False) -> DataFrame:
+    """A dataset of the newest whole version, with its types and in its column order."""
+    return read_version(spark, path, name, ordered)

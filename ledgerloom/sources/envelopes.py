@@ -6,10 +6,11 @@ reading scales with the number of files.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ledgerloom.operators.rank import positioned
+from ledgerloom.session import written
+
 
 class EnvelopeError(RuntimeError):
     """An answer reports an error instead of rows."""
@@ -51,7 +52,7 @@ def read_object_table(
     envelopes = spark.read.schema(object_envelope(_without_order(schema))).json(
         path, multiLine=True, mode="FAILFAST"
     )
-    return with_arrival_order(envelopes, lambda e: object_rows(e, on_error=on_error), schema)
+    return with_arrival_order(envelopes, lambda e: object_rows(e, on_error=on_error), schema, path)
 
 
 def error_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -124,37 +125,42 @@ def _without_order(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema if f.name != "ord"])
 
 
-#: Up to so many files their order travels as a broadcast of names; beyond, the join is the optimizer's.
-LISTED_FILES = 100_000
+def files_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """``file, place``: the files of a table in order of their whole path, runs of digits compared as numbers.
 
+    The binary reader gives one row per file and opens none. Paths are sorted where they are, by range, and
+    numbered by the counts of the ranges: no list of files is made on the driver.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    pieces = F.regexp_extract_all("file", F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+
+    def comparable(piece: Column) -> Column:
+        digits = F.ltrim(piece, F.lit("0"))
+        number = piece.rlike("^[0-9]")
+        return F.struct(
+            (~number).alias("text"), F.when(number, F.length(digits)).otherwise(0).alias("length"),
+            F.when(number, digits).otherwise(piece).alias("value"), piece.alias("piece"),
+        )
 
-def in_natural_order(names: list[str]) -> list[str]:
-    """Names in order, runs of digits compared as numbers: ``page_2`` before ``page_10``."""
-    return sorted(names, key=lambda name: [(0, int(p), p) if p.isdigit() else (1, 0, p) for p in re.split(r"([0-9]+)", name)])
+    return positioned(files, [F.transform(pieces, comparable), "file"], "place")
 
 
-def with_arrival_order(envelopes: DataFrame, rows_of, schema: T.StructType) -> DataFrame:
+def with_arrival_order(envelopes: DataFrame, rows_of, schema: T.StructType, path: str) -> DataFrame:
     """Rows with ``ord``: place of the file among all files of the table, then position in the file.
 
-    Files are ordered by their whole path, so no two share a place, whatever their names; the
-    order stays the same whatever splits or executors read them.
+    No two files share a place, whatever their names; the order stays the same whatever splits or executors read them.
     """
     if "ord" not in schema.names:
         return rows_of(envelopes)
-    spark = envelopes.sparkSession
-    files = [(name, place) for place, name in enumerate(in_natural_order(envelopes.inputFiles()), 1)]
-    one_form = F.regexp_replace("_file", "^file:/+", "file:/")  # Spark writes local paths in two ways
-    places = spark.createDataFrame(files, "_file string, _place long").withColumn("_file", one_form)
+    # a written table, so the optimizer knows how large the order is when it picks the join
+    places = written(files_in_order(envelopes.sparkSession, path), "file-order")
     numbered = F.transform(
         F.col("rows"),
         lambda row, i: F.struct(
-            (F.shiftleft(F.col("_page"), 32) + i).alias("ord"),
+            (F.shiftleft(F.col("place"), 32) + i).alias("ord"),
             *[row.getField(f.name).alias(f.name) for f in schema if f.name != "ord"],
         ),
     )
-    side = F.broadcast(places) if len(files) <= LISTED_FILES else places
-    path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
-    paged = envelopes.withColumn("_path", path).join(side, F.col("_path") == F.col("_file"), "left")
+    paged = envelopes.withColumn("_path", F.col("_metadata.file_path")).join(places, F.col("_path") == F.col("file"), "left")
     unknown = F.raise_error(F.concat(F.lit("file without a place: "), F.col("_path"))).cast("bigint")
-    paged = paged.withColumn("_page", F.coalesce("_place", unknown)).withColumn("rows", numbered)
-    return rows_of(paged)
+    return rows_of(paged.withColumn("place", F.coalesce("place", unknown)).withColumn("rows", numbered))

@@ -19,18 +19,20 @@ def series_schema(attributes: Iterable[str], audit: bool = False) -> T.StructTyp
 
 def read_series(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     attributes: Iterable[str] = (*SERIES_ATTRIBUTES, *OBS_ATTRIBUTES),
     audit: bool = False,
+    root: str | None = None,
 ) -> DataFrame:
     """One row per ``Series`` element, whatever namespace prefix it has.
 
     Files are landed as ``flux=<X|M>/section_code=<code>/*.xml``; both come back as
     columns. With ``audit`` an unreadable section keeps its row in ``_corrupt_record``
-    and the rest is still read.
+    and the rest is still read. ``root`` is the folder above, where ``path`` lists some of its sections.
     """
+    reader = spark.read.option("basePath", root) if root else spark.read
     return (
-        spark.read.format("xml")
+        reader.format("xml")
         .option("rowTag", "Series")
         .option("ignoreNamespace", "true")
         .option("mode", "PERMISSIVE" if audit else "FAILFAST")
