@@ -42,6 +42,7 @@ def aid_job(spark: SparkSession, landed: str, out: str) -> None:
     ordered = positioned(aid.donor_summary(tables), aid.summary_order())
     summary = version.add("donor_summary", ordered, sorted_by=["position"])
     version.add("donor_totals", aid.donor_totals(summary))
+    version.add("places", aid.places(tables.location), sorted_by=["aid", "position"])
     report = version.add("donor_report", aid.donor_report(published), sorted_by=["position"])
     version.add("donor_report_totals", aid.report_totals(report, published))
     version.commit(rows, required=[name for name in rows if name != "translation"])

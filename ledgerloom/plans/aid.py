@@ -12,10 +12,12 @@ from ledgerloom.operators.aggregates import (
     grouped, joined_text, ordered_lists, top_and_others, total, total_where,
 )
 from ledgerloom.operators.dims import code_dim, lookup
-from ledgerloom.operators.joins import restricted, star, translated
+from ledgerloom.operators.joins import excluded, restricted, star, translated
+from ledgerloom.operators.lists import PIECE, cells, numbered
 from ledgerloom.operators.rank import first_per_key
 from ledgerloom.operators.select import in_order, renamed, without
 from ledgerloom.plans import single_country
+from ledgerloom.session import cut
 
 PUBLISHED = [name for name, _, _ in fixed.triples(fixed.AID_COLUMNS)]
 
@@ -159,10 +161,26 @@ def weighted(df: DataFrame, amounts: list[str]) -> DataFrame:
     return df.withColumns({a: money.share_of(F.col(a), F.col("share")) for a in amounts})
 
 
+PLACE = ["location_name", "location_latitude", "location_longitude"]
+
+
+def places(location: DataFrame) -> DataFrame:
+    """``aid, position, location_name, location_latitude, location_longitude``: the distinct places of an activity."""
+    return numbered(location, "aid", "ord", PLACE)
+
+
 def locations_per_activity(location: DataFrame) -> DataFrame:
-    return _as_text(ordered_lists(
-        location, "aid", "ord", ["location_name", "location_latitude", "location_longitude"]
-    ))
+    """The published cells: names, latitudes and longitudes, each in order of first appearance.
+
+    An activity with at most :data:`PIECE` location rows fits one array, and nearly all do. Where there are others, their
+    cells are made from the numbered places, piece by piece; texts are the same either way.
+    """
+    large = location.groupBy("aid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PIECE).select("aid")
+    if large.isEmpty():
+        return _as_text(ordered_lists(location, "aid", "ord", PLACE))
+    large = cut(large)
+    small = _as_text(ordered_lists(excluded(location, large, "aid"), "aid", "ord", PLACE))
+    return small.unionByName(cells(places(restricted(location, large, "aid")), "aid", PLACE))
 
 
 def _as_text(lists: DataFrame) -> DataFrame:

@@ -390,6 +390,11 @@ FROM a_act LEFT JOIN statuses s ON s.code = status_code""",
 SELECT aid, sector_code, sector_group, secteur_detail, secteur_principal FROM sec_lists""",
     "flow_and_finance_lists": """
 SELECT aid, trans_flow_code, flux, trans_finance_code, financement FROM flow_lists""",
+    "places": """
+SELECT aid, row_number() OVER (PARTITION BY aid ORDER BY first, location_name NULLS FIRST, location_latitude NULLS FIRST,
+    location_longitude NULLS FIRST) AS position, location_name, location_latitude, location_longitude
+FROM (SELECT aid, name AS location_name, lat AS location_latitude, lon AS location_longitude, min(ord) AS first
+      FROM a_location GROUP BY ALL)""",
     "location_lists": "SELECT aid, location_name, location_latitude, location_longitude FROM loc_lists",
     "budget_agg": f"""
 SELECT aid, budget_currency, {_round('budget_value', 'budget_usd', 'budget_eur', 'budget_kmf')} FROM budgets""",

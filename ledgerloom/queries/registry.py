@@ -173,6 +173,12 @@ def location_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aid.locations_per_activity(standins.location(spark, sf_dir))
 
 
+@query
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct places of each activity as rows, numbered in order of first appearance."""
+    return aid.places(standins.aid_tables(spark, sf_dir).location)
+
+
 @query
 def budget_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     budgets = aid.budgets_per_activity(standins.budget(spark, sf_dir))

@@ -37,8 +37,6 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # code lists are collected per activity over millions of activities: stay on the hash path
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "16384")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false").config(
