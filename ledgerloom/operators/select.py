@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerloom.operators.rank import positioned
+from ledgerloom.session import written
+
 
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
@@ -29,5 +32,33 @@ def run_date() -> Column:
 
 
 def page(df: DataFrame, order: list[Column], size: int, number: int) -> DataFrame:
-    """One page of a total order, for users who browse; reads never page."""
+    """One page of a total order, for users who ask for one; reads never page."""
     return df.orderBy(*order).offset(size * number).limit(size)
+
+
+class Pages:
+    """Pages of a total order for users who browse: sorted and numbered once, each page read by its range.
+
+    Rows are written in order with their ``position``, so the statistics of files and row groups lead to those of a page
+    and the rest is skipped. ``folder`` keeps them for later sessions; without one they go to the shared folder.
+    """
+
+    def __init__(self, df: DataFrame, order: list[Column | str], size: int, folder: str | None = None) -> None:
+        self.size = size
+        rows = positioned(df, order)
+        if folder:
+            rows.write.mode("overwrite").parquet(folder)
+            self.rows = df.sparkSession.read.schema(rows.schema).parquet(folder)
+        else:
+            self.rows = written(rows, "pages")
+
+    def page(self, number: int) -> DataFrame:
+        """The rows of a page, from 0; their ``position`` gives their order."""
+        first = self.size * number
+        return self.rows.where((F.col("position") > first) & (F.col("position") <= first + self.size))
+
+    def firsts(self) -> DataFrame:
+        """The first row of each page: what a user jumps by."""
+        return self.rows.where((F.col("position") - 1) % self.size == 0).withColumn(
+            "page", ((F.col("position") - 1) / self.size).cast("long")
+        )

@@ -197,6 +197,10 @@ FROM (SELECT CASE l_returnflag WHEN 'R' THEN 'M' ELSE 'X' END AS flux, p_type, c
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY ALL)""",
+    "bulk": """
+SELECT year(l_shipdate)::varchar AS period, l_suppkey::varchar AS "reporterCode", lpad(l_partkey::varchar, 6, '0') AS "cmdCode",
+  CASE l_returnflag WHEN 'R' THEN 'M' ELSE 'X' END AS "flowCode", l_extendedprice::decimal(18, 2)::varchar AS "primaryValue"
+FROM lineitem""",
     "hs": _values(fixed.HS_SECTIONS),
     "partners": _values(fixed.PARTNERS),
     "rates": f"SELECT code::int AS annee, label::double AS taux FROM ({_values(fixed.FALLBACK_RATES)})",
@@ -544,6 +548,13 @@ SELECT c_name AS name, c_nationkey AS nation, c_mktsegment AS segment FROM custo
 UNION ALL SELECT s_name, s_nationkey, NULL FROM supplier""",
     "page_offset": """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 50""",
+    "page_by_range": """
+SELECT * FROM (SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position, o_orderkey, o_totalprice FROM orders)
+WHERE position BETWEEN 51 AND 100""",
+    "page_firsts": """
+SELECT *, (position - 1) // 50 AS page FROM (
+  SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position, o_orderkey, o_totalprice FROM orders)
+WHERE (position - 1) % 50 = 0""",
     "object_envelope_rows": """
 SELECT aid, country_code, country_percent FROM a_country
 WHERE aid NOT IN (SELECT o_orderkey::varchar FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')""",
@@ -553,6 +564,33 @@ SELECT 'L' || o_orderkey::varchar AS _link_activity, NULL::varchar AS value, o_o
     "xml_series_flatten": """
 SELECT flux, section_code, 'A' AS "FREQ", partner AS "PARTNER", annee::varchar AS "TIME_PERIOD",
   thousands::decimal(24, 5)::varchar AS "OBS_VALUE" FROM t_obs""",
+    "translated_rows": """
+SELECT a.aid, coalesce(f.title, a.title) AS title, coalesce(f.description, a.description) AS description
+FROM a_act a LEFT JOIN a_fr f ON f.aid = a.aid""",
+    "live_rates": "SELECT year(o_orderdate) AS annee, min(o_totalprice) AS taux FROM orders GROUP BY 1",
+    "release_rows": """
+SELECT user_id AS "reporterCode", strftime(ts, '%Y%m%d') AS period,
+  CASE WHEN event_type <> 'error' THEN 'file-' || event_id::varchar END AS "fileUrl" FROM events""",
+    "releases_of_reporter": """
+SELECT user_id AS "reporterCode", strftime(ts, '%Y%m%d') AS period,
+  CASE WHEN event_type <> 'error' THEN 'file-' || event_id::varchar END AS "fileUrl" FROM events WHERE user_id = 7""",
+    "code_list_rows": "SELECT p_partkey::varchar AS id, p_name AS text FROM part",
+    "availability_rows": """
+SELECT strftime(ts, '%Y%m%d') AS period, upper(event_type) AS "reporterISO", event_type AS "reporterDesc",
+  count(*) AS "totalRecords", max(strftime(ts, '%Y-%m-%d')) AS "lastReleased" FROM events GROUP BY 1, 2, 3""",
+    "bulk_rows": "SELECT * FROM bulk",
+    "selected_records": """
+SELECT * FROM bulk WHERE period IN ('1996', '1997') AND "reporterCode" IN ('1', '2', '3', '4', '5') AND "flowCode" = 'M'
+UNION ALL SELECT * FROM bulk WHERE "cmdCode" = '000007' AND "flowCode" = 'X'""",
+    "section_lines": """
+SELECT coalesce(l.flux, k.flux) AS flux, coalesce(l.section_code, k.section_code) AS section_code,
+  coalesce(n_series, 0) AS n_series, coalesce(n_obs, 0) AS n_obs, coalesce(n_unreadable, 0) AS n_unreadable
+FROM (SELECT flux, section_code, count(DISTINCT partner) FILTER (NOT lost) AS n_series,
+        coalesce(count(*) FILTER (NOT lost), 0) AS n_obs, count(DISTINCT partner) FILTER (lost) AS n_unreadable
+      FROM (SELECT *, flux = 'M' AND section_code = '27-27_Fuels' AS lost FROM t_obs) GROUP BY 1, 2) l
+FULL JOIN (SELECT flux, code AS section_code FROM hs, (VALUES ('X'), ('M')) f(flux)) k
+  ON k.flux = l.flux AND k.section_code = l.section_code""",
+    "both_flows": "SELECT * FROM facts",
     "rate_json": """
 SELECT o_custkey, year(o_orderdate) AS annee, min(o_totalprice) AS taux FROM orders
 GROUP BY 1, 2 HAVING NOT bool_and(o_orderpriority = '1-URGENT')""",

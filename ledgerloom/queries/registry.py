@@ -7,6 +7,7 @@ the first source have three decimals once weighted, those of the second four.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -16,7 +17,8 @@ from ledgerloom.functions import clean, money, rules
 from ledgerloom.operators import aggregates, dims, filters, joins, rank, select, sets
 from ledgerloom.plans import aid, reconcile, releases, second_source, single_country, trade
 from ledgerloom.queries import standins
-from ledgerloom.sources import envelopes, rates, sdmx
+from ledgerloom.session import shared_folder
+from ledgerloom.sources import envelopes, rates, sdmx, trade_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -494,6 +496,19 @@ def page_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = standins.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return select.page(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], size=50, number=1)
 
+@query
+def page_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same page out of orders that were sorted and numbered once."""
+    orders = standins.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return select.Pages(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], size=50).page(1)
+
+
+@query
+def page_firsts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first order of every page of 50."""
+    orders = standins.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return select.Pages(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], size=50).firsts()
+
 
 @query
 def object_envelope_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -548,6 +563,127 @@ def xml_series_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sdmx.flatten_series(parsed, attributes, keep=["flux", "section_code"], doc="doc")
 
 
+@query
+def translated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Translations as one answer per order and language, read back in one language and laid over the activities."""
+    own = standins.translation(spark, sf_dir).drop("ord")
+    answer = F.to_json(F.struct(F.array(F.struct("aid", "title", "description")).alias("rows")))
+    documents = own.select(F.lit("fr").alias("lang"), answer.alias("body")).unionByName(
+        own.withColumn("title", F.lit("Auftrag")).select(F.lit("de").alias("lang"), answer.alias("body"))
+    )
+    schema = envelopes.object_envelope(T.StructType([f for f in schemas.ACT_TRANSLATION if f.name != "ord"]))
+    parsed = documents.where("lang = 'fr'").select(F.from_json("body", schema).alias("doc"))
+    acts = standins.act(spark, sf_dir).select("aid", "title", "description")
+    return joins.translated(acts, envelopes.object_rows(parsed, "doc"), "aid", ["title", "description"])
+
+
+@query
+def live_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest order price of each year as one live rate document, which the built-in rates give way to."""
+    per_year = standins.table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(
+        F.min("o_totalprice").alias("lowest")
+    )
+    listed = per_year.agg(F.array_sort(F.collect_list(F.struct("year", "lowest"))).alias("years"))  # a few years
+    rate = F.transform("years", lambda y, i: F.struct(i.cast("string").alias("key"), F.array(y.lowest).alias("value")))
+    periods = F.array(F.struct(F.transform("years", lambda y: F.struct(y.year.cast("string").alias("id"))).alias("values")))
+    body = F.to_json(F.struct(
+        F.array(F.struct(F.create_map(
+            F.lit(rates.SERIES_KEY), F.struct(F.map_from_entries(rate).alias("observations"))
+        ).alias("series"))).alias("dataSets"),
+        F.struct(F.struct(periods.alias("observation")).alias("dimensions")).alias("structure"),
+    ))
+    live = rates.rates_of(listed.select(F.from_json(body, rates.RATE_DOCUMENT).alias("doc")), "doc")
+    return rates.rates_or_fallback(live, rates.fallback_rates(spark))
+
+
+def _release_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standins.releases(spark, sf_dir).select(F.to_json(F.struct(
+        F.array(F.struct("reporterCode", "period", "fileUrl")).alias("data")
+    )).alias("body"))
+    parsed = rows.select(F.from_json("body", trade_files.RELEASE_LIST).alias("doc"))
+    return trade_files.listed_rows(parsed, "data", "doc")
+
+
+@query
+def release_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases as one answer per event, read back."""
+    return _release_answers(spark, sf_dir)
+
+
+@query
+def releases_of_reporter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return releases.of_reporter(_release_answers(spark, sf_dir), 7)
+
+
+@query
+def code_list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as one code list answer each, read back."""
+    answers = standins.code_list(spark, sf_dir).select(F.to_json(F.struct(F.array(F.struct("id", "text")).alias("results"))).alias("body"))
+    return trade_files.listed_rows(answers.select(F.from_json("body", trade_files.CODE_LIST).alias("doc")), "results", "doc")
+
+
+@query
+def availability_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per day and type as availability answers, read back and listed by period."""
+    counted = standins.table(spark, sf_dir, "events").groupBy(F.date_format("ts", "yyyyMMdd").alias("period"), "event_type").agg(
+        F.count("*").alias("totalRecords"), F.max(F.date_format("ts", "yyyy-MM-dd")).alias("lastReleased")
+    )
+    line = F.struct("period", F.upper("event_type").alias("reporterISO"), F.col("event_type").alias("reporterDesc"), "totalRecords", "lastReleased")
+    answers = counted.select(F.to_json(F.struct(F.array(line).alias("data"))).alias("body"))
+    parsed = answers.select(F.from_json("body", trade_files.AVAILABILITY_LIST).alias("doc"))
+    return releases.available_periods(trade_files.listed_rows(parsed, "data", "doc"))
+
+
+def _bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items written as compressed bulk files and read back by the reader of bulk files."""
+    lines = standins.table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").cast("string").alias("period"), F.col("l_suppkey").cast("string").alias("reporterCode"),
+        F.lpad(F.col("l_partkey").cast("string"), 6, "0").alias("cmdCode"),
+        F.expr("CASE l_returnflag WHEN 'R' THEN 'M' ELSE 'X' END").alias("flowCode"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("primaryValue"),
+    )
+    folder = f"{shared_folder(spark).rstrip('/')}/bulk-{uuid.uuid4().hex}"
+    lines.write.option("header", "true").option("compression", "gzip").csv(folder)
+    return trade_files.read_bulk(spark, folder, schemas.RECORDS)
+
+
+@query
+def bulk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bulk(spark, sf_dir)
+
+
+@query
+def selected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Imports of two years by some reporters, and exports of one commodity, out of the bulk files."""
+    records = _bulk(spark, sf_dir)
+    imports = trade_files.select_records(records, period=["1996", "1997"], reporter=["1", "2", "3", "4", "5"], flow=["M"])
+    return imports.unionByName(trade_files.select_records(records, commodity=["000007"], flow=["X"]))
+
+
+@query
+def section_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series, observations and unreadable records per section, absent sections included; one section breaks off."""
+    seen = standins.observations(spark, sf_dir)
+    series = seen.groupBy("flux", "section_code", "PARTNER").agg(F.array_join(F.collect_list(
+        F.concat(F.lit('<Obs TIME_PERIOD="'), F.col("TIME_PERIOD").cast("string"), F.lit('"/>'))
+    ), "").alias("observations"))
+    end = F.when((F.col("flux") == "M") & (F.col("section_code") == "27-27_Fuels"), "</Ser").otherwise("</Series>")
+    body = F.concat(F.lit('<Series PARTNER="'), F.col("PARTNER"), F.lit('">'), F.col("observations"), end)
+    parsed = series.select("flux", "section_code", F.from_xml(
+        body, sdmx.series_schema(["PARTNER", "TIME_PERIOD"], audit=True), {"rowTag": "Series", "mode": "PERMISSIVE"}
+    ).alias("doc")).select("flux", "section_code", "doc.*")
+    sections = [code for code, _ in fixed.pairs(fixed.HS_SECTIONS)]
+    return sdmx.with_absent_sections(sdmx.section_audit(parsed, ["flux", "section_code"]), ["X", "M"], sections)
+
+
+@query
+def both_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports and imports that landed apart, as one dataset."""
+    facts = trade.facts(standins.observations(spark, sf_dir), rates.fallback_rates(spark)).drop("date_extraction")
+    flux = F.col("flux")
+    return trade.both_flows(facts.where(flux == "Export"), facts.where(flux == "Import"))
+
+
 @query
 def rate_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly mean order price per customer, written as rate documents and read back.

@@ -7,10 +7,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerloom import schemas
 
 
+def listed(field: str, schema: T.StructType) -> T.StructType:
+    """The schema of answers that hold their rows as a list in one field."""
+    return T.StructType([T.StructField(field, T.ArrayType(schema))])
+
+
+RELEASE_LIST = listed("data", schemas.RELEASES)
+AVAILABILITY_LIST = listed("data", schemas.AVAILABILITY)
+CODE_LIST = listed("results", schemas.CODE_LIST)
+
+
+def listed_rows(answers: DataFrame, field: str, doc: str | None = None) -> DataFrame:
+    """Rows of answers with a list in ``field``; ``doc`` names the struct column that holds the answer."""
+    return answers.select(F.inline(f"{doc}.{field}" if doc else field))
+
+
 def read_releases(spark: SparkSession, path: str) -> DataFrame:
     """The release list: ``{"data": [{...}]}``."""
-    envelope = T.StructType([T.StructField("data", T.ArrayType(schemas.RELEASES))])
-    return spark.read.schema(envelope).json(path, multiLine=True, mode="FAILFAST").select(F.inline("data"))
+    return listed_rows(spark.read.schema(RELEASE_LIST).json(path, multiLine=True, mode="FAILFAST"), "data")
 
 
 def read_bulk(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -48,10 +62,8 @@ def read_code_list(spark: SparkSession, path: str) -> DataFrame:
     """``id, text`` of a reference list, from ``{"results": [...]}`` or CSV files."""
     if path.rstrip("/").endswith((".csv", ".csv.gz")):
         return read_bulk(spark, path, schemas.CODE_LIST)
-    envelope = T.StructType([T.StructField("results", T.ArrayType(schemas.CODE_LIST))])
-    return spark.read.schema(envelope).json(path, multiLine=True, mode="FAILFAST").select(F.inline("results"))
+    return listed_rows(spark.read.schema(CODE_LIST).json(path, multiLine=True, mode="FAILFAST"), "results")
 
 
 def read_availability(spark: SparkSession, path: str) -> DataFrame:
-    envelope = T.StructType([T.StructField("data", T.ArrayType(schemas.AVAILABILITY))])
-    return spark.read.schema(envelope).json(path, multiLine=True, mode="FAILFAST").select(F.inline("data"))
+    return listed_rows(spark.read.schema(AVAILABILITY_LIST).json(path, multiLine=True, mode="FAILFAST"), "data")

@@ -189,3 +189,20 @@ def test_projections(spark):
     assert select.with_constants(df, k="v").first()["k"] == "v"
     many = spark.range(10)
     assert [r["id"] for r in select.page(many, [F.col("id")], 3, 1).collect()] == [3, 4, 5]
+
+
+def test_a_page_reads_its_range_only(spark, tmp_path):
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("key")).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so little would be one file
+    try:
+        pages = select.Pages(df, ["key"], 100, f"file://{tmp_path}/pages")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    page = pages.page(57)
+    assert sorted((r["position"], r["key"]) for r in page.collect()) == [(5701 + i, 5700 + i) for i in range(100)]
+    assert "GreaterThan(position,5700), LessThanOrEqual(position,5800)" in page._jdf.queryExecution().executedPlan().toString()
+    import pyarrow.parquet as pq
+
+    ranges = [pq.ParquetFile(p).metadata.row_group(0).column(0).statistics for p in (tmp_path / "pages").glob("*.parquet")]
+    assert len(ranges) > 1 and sum(r.min <= 5800 and r.max > 5700 for r in ranges) == 1
+    assert pages.firsts().count() == 200 and pages.page(200).count() == 0
