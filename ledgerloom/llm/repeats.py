@@ -13,8 +13,11 @@ A suffix array of the whole corpus would sort every position. Sorted here are on
    hashes, then look at one byte; the bytes of a window are compared before it counts as repeated here. Neighbours in
    both orders tell the longest repeated window to either side, and the windows of a segment all
    hold its anchor, so what they cover is one run.
-4. Anchors with more than GROUP distinct segments (the edges of a very common passage) are not sorted in one task:
-   their windows are counted as rows by a 128-bit hash; bytes are not compared.
+4. Anchors with more than GROUP distinct segments (the edges of a very common passage) are halved first. Equal windows
+   hold the anchor at the same distance, so for one half of all distances they agree on the bytes next to the anchor that
+   all windows of that half have: segments fall into groups by a 128-bit hash of these bytes, cut to what the half can
+   reach. A group of one ends; one whose members are the same bytes is repeated as a whole; one of up to GROUP members is
+   sorted as above; what is left is halved again, nine times at most.
 
 Defined results: texts are UTF-8 bytes, null is empty; matches never cross documents; strings are judged on the
 input. A text shorter than SPAN stays whole. Rows that repeat in full are each other's copies and lose
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cmp_to_key
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +43,7 @@ SLICE_BYTES = 256 << 10
 _U = np.uint64
 _M = (1 << 64) - 1
 _RANDOM = np.random.Generator(np.random.PCG64(4))
-_BYTES = _RANDOM.integers(1, 1 << 63, (2, 256), dtype=_U)
+_BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=_U)
 _BASE = int(_RANDOM.integers(1, 1 << 62)) * 4 + 1
 _PLACE_BITS = _U((1 << 31) - 1)
 
@@ -64,10 +68,10 @@ class _Prefix:
 
     up = down = np.ones(0, _U)
 
-    def __init__(self, data: np.ndarray, table: int = 0):
+    def __init__(self, data: np.ndarray):
         if len(_Prefix.up) < len(data) + 1:
             _Prefix.up, _Prefix.down = _powers(_BASE, len(data) + 1), _powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
-        self.sums = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTES[table][data] * _Prefix.up[:len(data)])])
+        self.sums = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTES[data] * _Prefix.up[:len(data)])])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * _Prefix.down[start]
@@ -224,10 +228,11 @@ def repeated_runs(texts: list[bytes], lefts: list[int], single: list[bool]) -> l
 
 
 _RUN = "anchor long, segment long, run_start int, run_end int"
+_GROUP = ["anchor", "part"]
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in order of anchor; a group has GROUP rows at most."""
+    """Rows come in order of anchor and part; a group has GROUP rows at most."""
     made: list[tuple] = []
     group: dict[int, tuple] = {}
     anchor = None
@@ -236,7 +241,7 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         rows = list(group.items())
         if len(rows) > 1 and any(r[1][2] for r in rows):
             runs = repeated_runs([r[1][0] for r in rows], [r[1][1] for r in rows], [r[1][2] for r in rows])
-            made.extend((anchor, r[0], *run) for r, run in zip(rows, runs) if run)
+            made.extend((anchor[0], r[0], r[1][3] + run[0], r[1][3] + run[1]) for r, run in zip(rows, runs) if run)
 
     def batch() -> pa.RecordBatch:
         columns = list(zip(*made)) or [[], [], [], []]
@@ -244,43 +249,70 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["anchor", "segment", "run_start", "run_end"])
 
     for rows in batches:
-        for key, segment, times, left, text in zip(*(rows.column(c).to_pylist() for c in ("anchor", "segment", "times", "left", "body"))):
+        columns = (rows.column(c).to_pylist() for c in (*_GROUP, "segment", "times", "left", "shift", "body"))
+        for *key, segment, times, left, shift, text in zip(*columns):
             if key != anchor:
                 close()
                 anchor, group = key, {}
-            group[segment] = (text, left, times == 1)
+            group[segment] = (text, left, times == 1, shift)
         yield batch()
         made = []
     close()
     yield batch()
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window of a segment as a row: its hashes, and its place."""
+_HALF = "anchor long, segment long, times long, left int, shift int, body binary, low int, high int, part binary, full boolean"
+
+
+def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each segment once for each half of its distances that has a window in it.
+
+    A row holds the bytes that windows of its half reach, ``part`` (the half, and a hash of the bytes that all
+    of them have), and whether the segment has all of that reach.
+    """
+    names = ["anchor", "segment", "times", "left", "shift", "body", "low", "high", "part", "full"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
     for whole in batches:
-        for rows in in_slices(whole, "body", 64 << 10):
-            data, offsets = raw_bytes(rows.column("body"))
-            n = np.diff(offsets) - SPAN + 1
-            row = np.repeat(np.arange(len(n)), n)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            start = offsets[:-1][row] + place
-            lefts = rows.column("left").to_numpy().astype(np.int64)[row] - place
-            h1 = _mixed(_Prefix(data).of(start, start + SPAN) ^ lefts.astype(_U)).view(np.int64)
-            h2 = _mixed(_Prefix(data, 1).of(start, start + SPAN)).view(np.int64)
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("anchor").take(take), rows.column("segment").take(take), rows.column("times").take(take), pa.array(place.astype(np.int32)), pa.array(h1), pa.array(h2)],
-                ["anchor", "segment", "times", "place", "h1", "h2"],
-            )
+        for batch in in_slices(whole, "body", SLICE_BYTES):
+            rows = []
+            for anchor, segment, times, left, shift, body, low, high in zip(*(batch.column(c).to_pylist() for c in names[:8])):
+                middle = (low + high) // 2
+                for p, q in ((low, middle), (middle + 1, high)):
+                    before, after = min(left, q), min(len(body) - left, SPAN - p)
+                    if p > q or before < p or after < SPAN - q or before + after < SPAN:
+                        continue
+                    common = body[left - p:left + SPAN - q]
+                    part = p.to_bytes(2) + q.to_bytes(2) + blake2b(common, digest_size=16).digest()
+                    rows.append((
+                        anchor, segment, times, before, shift + left - before, body[left - before:left + after], p, q, part,
+                        before == q and after == SPAN - p,
+                    ))
+            columns = list(zip(*rows)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
 def _large_runs(contexts: DataFrame) -> DataFrame:
-    """Runs of single segments of anchors with very many distinct segments, by counting windows."""
-    rows = contexts.mapInArrow(_windows, "anchor long, segment long, times long, place int, h1 long, h2 long")
-    again = cut(rows.groupBy("anchor", "h1", "h2").agg(F.sum("times").alias("n")).where("n > 1").drop("n"))
-    return rows.where("times = 1").join(again, ["anchor", "h1", "h2"], "left_semi").groupBy("anchor", "segment").agg(
-        F.min("place").cast("int").alias("run_start"), (F.max("place") + SPAN).cast("int").alias("run_end")
-    )
+    """Runs of single segments of anchors with more than GROUP distinct segments, by halving (see the top)."""
+    rows = contexts.withColumns({"low": F.lit(0), "high": F.lit(SPAN - GRAM)})
+    found = []
+    for last in [False] * 9 + [True]:  # 337 distances: after nine halvings each is alone
+        rows = stored(rows.mapInArrow(_halved, _HALF), "halves")
+        groups = rows.groupBy(*_GROUP).agg(
+            F.count("*").alias("k"), (F.bool_and("full") & (F.min("body") == F.max("body"))).alias("same")
+        )
+        met = stored(rows.join(cut(groups.where("k > 1")), _GROUP), "halves-met")
+        whole = met.where("same AND times = 1")
+        found.append(whole.select("anchor", "segment", F.col("shift").alias("run_start"), (F.col("shift") + F.length("body")).alias("run_end")))
+        few = met.where("NOT same" if last else F.expr("NOT same") & (F.col("k") <= GROUP))
+        found.append(few.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(_sorted_groups, _RUN))
+        rows = met.where(F.expr("NOT same") & (F.col("k") > GROUP))
+        if last or rows.isEmpty():
+            break
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    # all runs of a segment hold its anchor, so together they are one run
+    return every.groupBy("anchor", "segment").agg(F.min("run_start").alias("run_start"), F.max("run_end").alias("run_end"))
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +373,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     bodies = _texts(docs).join(_of_row(wanted, "w"), _same_row("w")).select("text", "wanted")
     contexts = stored(bodies.mapInArrow(_bodies, "anchor long, segment long, times long, left int, body binary"), "contexts")
     large = cut(classes.groupBy("anchor").count().where(F.col("count") > GROUP).select("anchor"))
-    small = contexts.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
+    contexts = contexts.withColumns({"shift": F.lit(0), "part": F.expr("X''")})
+    small = contexts.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions(*_GROUP)
     runs = small.mapInArrow(_sorted_groups, _RUN)
     if not large.isEmpty():
         runs = runs.unionByName(_large_runs(contexts.join(large, "anchor", "left_semi")))
@@ -379,22 +412,27 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 data, runs = text.encode(), _merged(spans)
-                rows.append((len(data), sum(b - a for a, b in runs), len(runs), _kept(data, runs)))
-            n, gone, runs, kept = zip(*rows)
+                kept = _kept(data, runs)
+                rows.append((len(data), sum(b - a for a, b in runs), len(runs), kept, kept.decode("utf-8", "ignore")))
+            n, gone, runs, kept, kept_text = zip(*rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary()),
+                 pa.array(kept_text, pa.string())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text"],
             )
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """Every row: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
+    """Every row: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), kept_text (their whole characters)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = _texts(docs).join(_of_row(repeated_spans(docs), "s"), _same_row("s"), "left")
     return rows.select("doc_id", "text", "spans").mapInArrow(
-        _removed, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary"
+        _removed, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"
     )
 
 
 def removal_report(docs: DataFrame) -> DataFrame:
-    return without_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """:func:`without_repeats` with a digest of the remaining bytes, and the remaining text itself."""
+    return without_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "kept_text"
+    )

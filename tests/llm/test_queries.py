@@ -28,7 +28,7 @@ def test_query_agrees_with_its_twin(spark, name):
 ])
 def test_query_agrees_with_brute_force(spark, name, expected):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    got = [tuple(r) for r in QUERIES[name](spark, SF).collect()]
+    got = [tuple(r)[:5] if name == "op4_repeats" else tuple(r) for r in QUERIES[name](spark, SF).collect()]
     if name == "op1_near_dedup":
         assert all(kept == (doc_id == component) for doc_id, _, component, kept in got)
         got = [r[:3] for r in got]
