@@ -4,28 +4,28 @@
    class is one node, so a text that a third of all rows have is one row.
 2. A class is sketched by one-permutation hashing into BINS bins; an empty bin takes the value of the first filled
    bin in a random order of its own (optimal densification). BANDS bands of the sketch give buckets.
-3. Each bucket is a star: its members are linked to one member, so pairs grow with the members, not their
-   square. Links are checked on the full sets, both texts read again.
-4. Linked classes are joined: parts of the links are contracted, then what they disagree on. In a bucket that still
-   holds several components the star did not tell all: there pairs across components are tried (in buckets of up
-   to SMALL members all of them, in larger ones stars around CENTRES random members, others in each round), until
-   a round finds no new link. A pair linked through others is never tried.
-5. What is still open in large buckets is settled exactly, by a prefix filter: sets that agree by PERCENT share one of
+3. Rounds of stars: each bucket that holds several components names one member as its centre, in an order that is another
+   one in each round, and a class is compared with one centre of another component, the one that most of its buckets name.
+   So a round makes one pair a class at most, however many buckets or members there are. Pairs whose sizes
+   rule out a link are left out; the others are checked on the full sets, both texts read again, and the components that
+   they link are contracted. Rounds end when one finds no link, or after ROUNDS of them.
+4. Small buckets (up to SMALL members) that still hold several components are then told in full: all pairs across components.
+5. What is still open in larger buckets is settled exactly, by a prefix filter: sets that agree by PERCENT share one of
    the rarest shingles of each, so classes of different components meet by these shingles (:func:`_open_pairs`).
 
 A pair at the threshold shares no bucket with a probability of about 5 in a million; every pair that shares one is
-linked, through others or by itself.
+linked, through others or by itself. Full sets are sets of 64-bit shingle hashes; equal sets are told by 128 bits of them.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a text of fewer than five words is one
 shingle, a text without words (or null) has none and is alone. The row that stays is the one with the
-smallest id, null ids last. Rows that repeat id and text are marked alike; :func:`without_near_copies` keeps
+smallest id, null ids last. ``kept`` says whether the id is that smallest one, ``stays`` which of its rows, where an id repeats
+with other texts. Rows that repeat id and text are marked alike; :func:`without_near_copies` keeps
 one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from ledgerloom.llm.common import cut, in_slices, raw_bytes, stored, text_or_emp
 WORDS = 5
 PERCENT = 75
 BINS, BANDS = 128, 32
-SMALL, CENTRES = 40, 8
+SMALL, ROUNDS = 40, 6
 PART_LINKS = 500_000  # links that one task contracts
 SLICE_BYTES = 512 << 10
 SLOTS = 1 << 20  # counts of shingles, for the order of the prefix filter
@@ -244,36 +244,46 @@ def components(links: DataFrame) -> DataFrame:
     return least.join(above, "low", "left").select("node", F.coalesce("above", "low").alias("root"))
 
 
-def _first_pairs(members: DataFrame) -> DataFrame:
-    """In each bucket, every member with the smallest. (Cut sides let the engine split a hot bucket in the join.)"""
-    centre = cut(members.groupBy("bucket").agg(F.min("node").alias("v")))
-    return members.join(centre, "bucket").select(F.col("node").alias("u"), "v").where("u <> v").distinct()
+def _alike_in_size(n: str, m: str) -> Column:
+    """Sets of other sizes cannot agree by PERCENT."""
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
-def _more_pairs(members: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs across the components of a bucket: all of small buckets in the first turn, stars in large ones in each.
+def _placed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Members (bucket, node, n) with their root."""
+    if roots is None:
+        return members.withColumn("root", F.col("node"))
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    Also the members of large buckets that hold several components, for the next turn; other buckets are done.
-    """
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+def _pair(node: str, other: str) -> list[Column]:
+    return [F.greatest(node, other).alias("u"), F.least(node, other).alias("v")]
+
+
+def _star_pairs(members: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+    """For each class in a bucket of several components one pair with a centre of another component."""
+    placed = _placed(members, roots)
+    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root", "n"))
+    centres = cut(placed.groupBy("bucket").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), first.alias("centre")
+    ).where("low <> high").select("bucket", "centre"))
+    met = placed.join(centres, "bucket").where("centre.root <> root").where(_alike_in_size("n", "centre.n"))
+    named = met.groupBy("node", F.col("centre.h").alias("h"), F.col("centre.node").alias("other")).agg(F.count("*").alias("times"))
+    best = named.groupBy("node").agg(F.max(F.struct("times", "h", "other")).alias("best"))
+    return best.select(*_pair("node", "best.other")).distinct()
+
+
+def _small_pairs(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All pairs across components in buckets of up to SMALL members, and the members of the larger open ones."""
+    placed = _placed(members, roots)
     several = cut(placed.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
-        F.array(*[
-            F.min(F.struct(F.xxhash64("node", F.lit(CENTRES * turn + k)).alias("h"), F.col("node"), F.col("root"))) for k in range(CENTRES)
-        ]).alias("centres"),
-    ).where("low <> high"))
-    large = several.where(F.col("size") > SMALL)
-    left = cut(placed.join(large.select("bucket"), "bucket", "left_semi").select("bucket", "node", "root"))
-    apart = F.filter("centres", lambda centre: centre["root"] != F.col("root"))
-    pairs = left.join(large.select("bucket", "centres"), "bucket").select("node", F.explode(apart).alias("centre"))
-    pairs = pairs.select(F.greatest("node", "centre.node").alias("u"), F.least("node", "centre.node").alias("v"))
-    if turn == 1:  # all pairs of small buckets are tried once
-        small = placed.join(several.where(F.col("size") <= SMALL).select("bucket"), "bucket")
-        small = small.groupBy("bucket").agg(F.collect_list(F.struct("node", "root")).alias("all"))
-        small = small.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
-        small = small.where("x.node < y.node AND x.root <> y.root").select(F.col("y.node").alias("u"), F.col("x.node").alias("v"))
-        pairs = pairs.unionByName(small)
-    return left.select("bucket", "node"), pairs.distinct()
+        F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).where("low <> high").select("bucket", "size"))
+    open_members = cut(placed.join(several, "bucket"))
+    small = open_members.where(F.col("size") <= SMALL).groupBy("bucket").agg(F.collect_list(F.struct("node", "root", "n")).alias("all"))
+    both = small.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
+    both = both.where("x.node < y.node AND x.root <> y.root").where(_alike_in_size("x.n", "y.n"))
+    return both.select(*_pair("y.node", "x.node")).distinct(), open_members.where(F.col("size") > SMALL).select("node")
 
 
 def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,60 +355,71 @@ def _open_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataF
 def _classes(rows: DataFrame) -> DataFrame:
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("t")))
     filled = rows.where("n_shingles > 0")
-    return filled.groupBy(F.struct("a", "b").alias("node")).agg(best.alias("best"), F.first("bands").alias("bands"))
+    return filled.groupBy(F.struct("a", "b").alias("node")).agg(
+        best.alias("best"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")
+    )
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """Every row: doc_id, n_shingles, component_id, kept, t (hash of its text)."""
+    """Every row: doc_id, n_shingles, component_id, kept, t (hash of its text), stays (the row that stays)."""
     rows = stored(sketched(docs), "sketches")
-    classes = cut(_classes(rows).select("node", "best", "bands"))
-    buckets = classes.select("node", F.explode("bands").alias("bucket"))
+    classes = cut(_classes(rows).select("node", "best", "bands", "n"))
+    buckets = classes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
     members = stored(buckets.join(shared, "bucket", "left_semi"), "buckets")
-    pairs = cut(_first_pairs(members))
 
     wanted = members.select("node").distinct().join(classes.select("node", "best"), "node")
     source = docs.select(F.col("doc_id").alias("id"), _text_hash().alias("h"), text_or_empty().alias("text"))
     texts = source.join(wanted, F.col("id").eqNullSafe(F.col("best.doc_id")) & (F.col("h") == F.col("best.t"))).select("node", "text")
-    texts = stored(texts, "texts")
-
-    links = cut(confirmed(pairs, texts))
-    tried = pairs
-    roots = cut(components(links))
-
-    def joined(found: DataFrame) -> DataFrame:
-        known = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-        return cut(components(known.unionByName(found)))
-
-    for turn in count(1):
-        members, pairs = _more_pairs(members, roots, turn)
-        pairs = cut(pairs.join(tried, ["u", "v"], "left_anti"))
+    texts = stored(texts.dropDuplicates(["node"]), "texts")  # rows may repeat
+
+    roots, tried = None, None
+
+    def settled(pairs: DataFrame) -> bool:
+        """Check the pairs that were not tried before and contract what they link; False if they link nothing."""
+        nonlocal roots, tried
+        if tried is not None:
+            pairs = pairs.join(tried, ["u", "v"], "left_anti")
+        # a written table: the optimizer knows its size, and few pairs are sent to the texts rather than the texts to them
+        pairs = stored(pairs, "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
         found = cut(confirmed(pairs, texts))
-        tried = tried.unionByName(pairs)
         if found.isEmpty():
+            return False
+        if roots is not None:
+            found = found.unionByName(roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
+        roots = cut(components(found))
+        return True
+
+    for turn in range(ROUNDS):
+        if not settled(_star_pairs(members, roots, turn)):
             break
-        roots = joined(found)
-    if not members.isEmpty():  # large buckets with several components
-        pairs = cut(_open_pairs(members, roots, texts).join(tried, ["u", "v"], "left_anti"))
-        found = cut(confirmed(pairs, texts))
-        if not found.isEmpty():
-            roots = joined(found)
+    if roots is None:
+        roots = cut(classes.where("false").select("node", F.col("node").alias("root")))
+    pairs, _ = _small_pairs(members, roots)
+    settled(pairs)
+    _, still_open = _small_pairs(members, roots)
+    if not still_open.isEmpty():
+        settled(_open_pairs(still_open, roots, texts))
 
     named = classes.select("node", "best").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min("best").alias("stays"))
     named = named.join(kept, "root").select("node", "stays")
     filled = rows.where("n_shingles > 0").join(named, (F.col("a") == F.col("node.a")) & (F.col("b") == F.col("node.b")))
+    own, least = F.col("doc_id"), F.col("stays.doc_id")
     filled = filled.select(
-        "doc_id", "n_shingles", F.col("stays.doc_id").alias("component_id"),
-        (F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("t") == F.col("stays.t"))).alias("kept"), "t",
+        "doc_id", "n_shingles", least.alias("component_id"), own.eqNullSafe(least).alias("kept"), "t",
+        (own.eqNullSafe(least) & (F.col("t") == F.col("stays.t"))).alias("stays"),
+    )
+    alone = rows.where("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "t", F.lit(True).alias("stays")
     )
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "t")
     return filled.unionByName(alone)
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """One row of each group, with its columns as they were."""
-    kept = near_copies(docs).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("t").alias("kept_t")).distinct()
+    kept = near_copies(docs).where("stays").select(F.col("doc_id").alias("kept_id"), F.col("t").alias("kept_t")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("row"), F.col("doc_id").alias("row_id"), _text_hash().alias("row_t"))
     stay = rows.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_t") == F.col("kept_t")), "left_semi")

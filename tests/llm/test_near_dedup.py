@@ -112,6 +112,40 @@ def test_odd_rows(docs_of, odd_rows):
     assert ids.count(8) == 1 and 7 not in ids and 6 in ids and 2 not in ids
 
 
+def test_repeated_rows_are_compared_once(docs_of, monkeypatch):
+    """Two texts, each in hundreds of equal rows, are one pair of texts."""
+    read = []
+    real = near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda pairs, texts: read.append((pairs.count(), texts.count())) or real(pairs, texts))
+    words = [f"w{x}" for x in range(60)]
+    one, two = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(5, one)] * 500 + [(6, two)] * 500 + [(7, "nothing of the kind in these six words")]
+    assert found(near_dedup.near_copies(docs_of(rows).repartition(5))) == sorted(
+        [(5, 56, 5)] * 500 + [(6, 56, 5)] * 500 + [(7, 4, 7)], key=repr)
+    assert read[0] == (1, 2)
+    assert near_dedup.without_near_copies(docs_of(rows)).count() == 2
+
+
+def test_kept_says_whether_the_id_is_the_smallest(docs_of):
+    """An id that repeats with different near texts is kept in all its rows; one of them stays."""
+    words = [f"w{x}" for x in range(60)]
+    rows = [(5, " ".join(words)), (5, " ".join([*words[:-1], "other"])), (6, " ".join([*words[:-1], "third"]))]
+    got = near_dedup.near_copies(docs_of(rows)).collect()
+    assert all(r.component_id == 5 and r.kept == (r.doc_id == 5) for r in got)
+    assert sum(r.stays for r in got) == 1 and near_dedup.without_near_copies(docs_of(rows)).count() == 1
+
+
+def test_a_class_is_in_one_pair_a_round(docs_of, monkeypatch):
+    """A family of copies that differ in a word each: pairs stay near the number of texts, whatever the buckets."""
+    pairs = []
+    real = near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda p, texts: pairs.append(p.count()) or real(p, texts))
+    words = [f"w{x}" for x in range(80)]
+    rows = [(i, " ".join([*words[:i % 80], f"o{i}", *words[i % 80 + 1:]])) for i in range(300)]
+    got = near_dedup.near_copies(docs_of(rows)).collect()
+    assert {r.component_id for r in got} == {0} and sum(pairs) <= 2 * len(rows)
+
+
 def test_empty_table(docs_of):
     assert near_dedup.near_copies(docs_of([])).collect() == []
     assert near_dedup.without_near_copies(docs_of([])).collect() == []
