@@ -4,13 +4,18 @@ A text is first given to a language family, then one-versus-one linear support v
 the languages of that family apart. Features are relative frequencies of hashed byte n-grams of
 the lower-cased text, so a text's score is the mean weight of its n-grams: one look-up table for each machine.
 
-Training takes a bounded sample: for each language the ``per_language`` distinct texts with the smallest hash of their
-id (``TRAIN_PER_LANGUAGE``, documented bound), and ``TRAIN_IN_ALL`` texts of all languages together, the first of
-each language before the second. Features of the sample are computed on Spark and summed up to
-one vector a text; one task trains. Prediction covers every row and whole texts.
+Training takes a bounded sample: for each language ``per_language`` distinct texts by the hash of their
+id and text (``TRAIN_PER_LANGUAGE``, documented bound), and ``TRAIN_IN_ALL`` texts of all languages together, the first of
+each language before the second. Languages are counted first and rows cut by their hash to some multiple of what is
+wanted, so a language with a third of all rows sends no more to one task than others do. Features of the sample are
+computed on Spark and summed up to one vector a text; one task trains. Prediction covers every row and whole texts.
+
+As a stage (:func:`identified_documents`) the model decides: a text goes if it has no letter, or if it has enough letters to
+be judged (``JUDGED_LETTERS``) and the model is undecided at both levels, with less than 0.6 for its own answer at each
+(``LEAST_SCORE``, their product). Texts that mix languages stay. What stays without a label gets the predicted one.
 
 Defined results: null text and text without a letter give ``und`` with score 0; with no labelled text at all every
-text gives ``und``, and the documents kept are those with letters; with one language every text with letters gets it. Labels outside FAMILY form the
+text gives ``und``, and the documents kept are those with letters, unlabelled; with one language every text with letters gets it. Labels outside FAMILY form the
 family ``other``. Repeated rows get equal predictions; an empty table gives an empty result.
 """
 
@@ -32,6 +37,8 @@ from ledgerloom.llm.common import in_slices, raw_bytes
 
 TRAIN_PER_LANGUAGE = 500
 TRAIN_IN_ALL = 20_000  # vectors of 16 KB in the one task that trains
+SPARE = 4  # rows that the cut by hash leaves for each one wanted
+LEAST_SCORE, JUDGED_LETTERS = 0.36, 40
 BITS = 12
 UNKNOWN = "und"
 
@@ -190,8 +197,14 @@ def learn(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> dict:
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.select("doc_id", "lang", "text", F.xxhash64("text").alias("t"))
     # identifiers first, texts for the chosen ones only
-    order = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "t"))
-    picked = rows.select("doc_id", "lang", "t").distinct().withColumn("place", order).where(F.col("place") <= per_language)
+    distinct = rows.select("doc_id", "lang", "t").distinct().withColumn("h", F.xxhash64("doc_id", "t", "lang"))
+    counts = distinct.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "of").limit(TRAIN_IN_ALL)
+    share = F.least(F.lit(1.0), F.lit(float(SPARE * per_language)) / F.col("n"))
+    near = distinct.join(F.broadcast(counts), F.col("lang") == F.col("of")).where(  # TRAIN_IN_ALL rows at most
+        F.col("h").cast("double") <= (share * 2 - 1) * float(1 << 63)
+    )
+    order = F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id", "t"))
+    picked = near.withColumn("place", order).where(F.col("place") <= per_language)
     picked = picked.orderBy("place", "lang").limit(TRAIN_IN_ALL)
     picked = picked.select(F.col("doc_id").alias("picked_id"), F.col("lang").alias("picked_lang"), F.col("t").alias("picked_t"))
     same = F.col("doc_id").eqNullSafe(F.col("picked_id")) & (F.col("lang") == F.col("picked_lang")) & (F.col("t") == F.col("picked_t"))
@@ -229,15 +242,22 @@ def _in_a_language(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in in_slices(whole, "text", 512 << 10):
+                text = batch.column("text")
+                lettered = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
                 if model["families"]:
-                    lang, _ = predict(model, batch.column("text"))
-                    yield batch.filter(pa.array([x != UNKNOWN for x in lang]))
-                else:
-                    yield batch.filter(pc.fill_null(pc.match_substring_regex(batch.column("text"), r"\p{L}"), False))
+                    lang, score = predict(model, text)
+                    doubtful = np.flatnonzero(lettered & (score < LEAST_SCORE))
+                    letters = pc.count_substring_regex(text.take(pa.array(doubtful)), r"\p{L}").to_numpy(zero_copy_only=False)
+                    lettered = lettered.copy()
+                    lettered[doubtful[letters >= JUDGED_LETTERS]] = False
+                    at = batch.schema.get_field_index("lang")
+                    named = pc.coalesce(batch.column(at), pa.array(lang, pa.string()).cast(batch.schema.field(at).type))
+                    batch = batch.set_column(at, batch.schema.field(at), named)
+                yield batch.filter(pa.array(lettered))
 
     return run
 
 
 def identified_documents(docs: DataFrame) -> DataFrame:
-    """Rows whose text is in some language, with their columns as they were; ``und`` goes. Rows with letters where nothing was learned."""
+    """Rows whose text is in one of the languages, with their columns; a null lang is filled in. Where nothing was learned: rows with letters."""
     return docs.mapInArrow(_in_a_language(learn(docs)), docs.schema)

@@ -76,3 +76,49 @@ def test_null_and_repeated_ids_are_learned_within_the_bounds(docs_of, monkeypatc
     assert language.learn(docs_of([(1, text, lang, s) for _, text, lang, s in rows(60)] * 3)) == different
     monkeypatch.setattr(language, "TRAIN_IN_ALL", 8)
     assert language.learn(made) == 8
+
+
+def noise(i):
+    """Letters of all four languages, drawn without their order."""
+    letters = "".join(WORDS.values()).replace(" ", "")
+    return " ".join("".join(letters[(i * 31 + j * 17 + k * k * 7) % len(letters)] for k in range(5)) for j in range(30))
+
+
+def test_the_stage_drops_what_the_model_does_not_know(docs_of):
+    """Texts with letters go because of their prediction; short ones and known ones stay."""
+    strange = [(1000 + i, noise(i), None, "s") for i in range(40)]
+    short = [(2000 + i, text, None, "s") for i, text in enumerate(["Re.", "le", "zzz qqq", "ß"])]
+    docs = docs_of(rows() + strange + short)
+    scores = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs).collect()}
+    kept = {r.doc_id: r.lang for r in language.identified_documents(docs).collect()}
+    gone = {i for i, (_, score) in scores.items() if score < language.LEAST_SCORE and not 2000 <= i < 2010}
+    assert set(scores) - set(kept) == gone and gone and gone <= {i for i, *_ in strange}
+    assert all(kept[i] == scores[i][0] for i, *_ in short)
+    assert all(kept[i] == lang for i, _, lang, _ in rows())
+
+
+def test_a_hot_language_is_cut_before_it_is_numbered(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(language, "TRAIN_PER_LANGUAGE", 5)
+    docs = docs_of(rows(80) + [(1000 + i, f"the word {i}", "en", "s") for i in range(900)])
+    seen = []
+    real = language._trained
+    monkeypatch.setattr(language, "_trained", lambda frame: seen.append(1) or real(frame))
+    model = language.learn(docs, 5)
+    assert model["languages"] == {"germanic": ["de", "en"], "romance": ["es", "fr"]}
+    monkeypatch.setattr(language, "_trained", lambda frame: pd.DataFrame({"model": [pickle.dumps(frame["lang"].value_counts().to_dict())]}))
+    assert language.learn(docs, 5) == {"en": 5, "de": 5, "fr": 5, "es": 5}
+
+
+def test_ties_and_a_very_long_text(docs_of):
+    """Texts of equal grams get equal answers; a text of two megabytes is read whole."""
+    long = ("der die und nicht sich auch " * 80_000).strip()
+    docs = docs_of(rows() + [(500, long, None, "s"), (501, "x", None, "s"), (502, "x", None, "s"), (503, "the le der el", None, "s")])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs).collect()}
+    assert got[500][0] == "de" and got[501] == got[502] and got[503][0] in WORDS
+
+
+def test_held_out_accuracy_on_the_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = {r.doc_id: r.lang for r in docs.where("lang IS NOT NULL").collect()}
+    held = [r for r in language.identify(docs).collect() if r.held_out and r.doc_id in labels and r.lang_pred != "und"]
+    assert len(held) > 250 and sum(r.lang_pred == labels[r.doc_id] for r in held) >= 0.98 * len(held)
