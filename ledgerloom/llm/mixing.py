@@ -96,7 +96,7 @@ def _finish(nth: Column) -> Column:
 def mix(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES, budget: int | None = None
 ) -> DataFrame:
-    """Each row of docs: doc_id, source, size, source_size, target, times (how often it is taken), taken, key."""
+    """Each row of docs: doc_id, source, size, source_size, target, times (how often it is taken), taken, key, queued."""
     sizes = cut(_sizes(docs))
     rows = cut(_queued(sizes, cut(_targets(sizes, weights, passes, budget))))
     totals = rows.agg(F.count("*"), F.sum("size")).first()
@@ -137,23 +137,29 @@ def mix(
     times = sum((taken_in(nth) for nth in range(1, passes)), taken_in(0))
     rows = rows.withColumn("times", times)
     return rows.select(
-        "doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"), "key"
+        "doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"), "key",
+        "queued",
     )
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with their columns as they were.
+    """The documents of the mix in the order of their virtual finish times, each as often as it is taken, with their columns.
+
+    A global range sort gives the order, so what a reader has taken from the front is near the targets at any point.
 
     Rows of a source that repeat id and text share what is taken of them; where it does not divide, the first in the
     order of the input are written once more. These are numbered in two levels, by input partition and inside it.
     """
-    taken = mix(docs, weights, passes).groupBy("key", "source").agg(F.sum("times").alias("all_times"), F.count("*").alias("copies"))
+    queue = ["queued", "source_size", "target"]
+    taken = mix(docs, weights, passes).groupBy("key", "source").agg(
+        F.sum("times").alias("all_times"), F.count("*").alias("copies"), *[F.min(c).alias(c) for c in queue]
+    )
     taken = taken.where("all_times > 0").withColumn("odd", F.col("all_times") % F.col("copies"))
-    taken = taken.withColumn("times", F.expr("all_times div copies")).select("key", "source", "times", "odd")
+    taken = taken.withColumn("times", F.expr("all_times div copies")).select("key", "source", "times", "odd", *queue)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("row"), _row_key().alias("row_key"), F.col("source").cast("string").alias("row_source"))
     same = (F.col("row_key") == F.col("key")) & F.col("row_source").eqNullSafe(F.col("source"))
-    made = rows.join(taken.where("odd = 0"), same).select("row", "times")
+    made = rows.join(taken.where("odd = 0"), same).select("row", "times", "key", *queue)
 
     uneven = cut(taken.where("odd > 0"))
     if not uneven.isEmpty():
@@ -164,5 +170,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, passes: i
         placed = placed.withColumn("nth", F.row_number().over(W.partitionBy("key", "source", "part").orderBy("place")))
         placed = placed.join(sums, (F.col("key") == F.col("k")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
         once_more = (F.col("before") + F.col("nth") <= F.col("odd")).cast("long")
-        made = made.unionByName(placed.select("row", (F.col("times") + once_more).alias("times")).where("times > 0"))
-    return made.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth")).select("row.*")
+        more = placed.select("row", (F.col("times") + once_more).alias("times"), "key", *queue)
+        made = made.unionByName(more.where("times > 0"))
+    turns = made.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    return turns.withColumn("finish", _finish(F.col("nth"))).orderBy("finish", "key", "nth").select("row.*")

@@ -61,3 +61,20 @@ def test_empty_table(docs_of):
 
 def test_no_words_at_all(docs_of):
     assert [r.taken for r in mixing.mix(docs_of([(1, "", "en", "a"), (2, None, "en", "b")])).collect()] == [0, 0]
+
+
+def test_the_mix_is_written_in_order(docs_of):
+    """Any prefix of the output has the sources near their target shares."""
+    rows = [(i, " ".join(["w"] * (5 + i % 7)), "en", "abc"[i % 3]) for i in range(900)]
+    docs = docs_of(rows).repartition(6)
+    targets = {r.source: r.target for r in mixing.mix(docs).collect()}
+    out = [(r.source, len(r.text.split())) for r in mixing.mixed_documents(docs).collect()]
+    whole = sum(n for _, n in out)
+    for share in (0.1, 0.3, 0.5, 0.8, 1.0):
+        seen = {s: 0 for s in targets}
+        for source, n in out:
+            if sum(seen.values()) >= share * whole:
+                break
+            seen[source] += n
+        for source, target in targets.items():
+            assert abs(seen[source] / sum(seen.values()) - target / sum(targets.values())) < 0.03
