@@ -132,7 +132,8 @@ WITH records AS (
 lines AS (
   SELECT page_id, html,
          'WARC/1.1' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || nl
-         || coalesce('WARC-Target-URI: ' || address || nl, '') || 'Content-Type: text/html' || nl
+         || coalesce('WARC-Target-URI: ' || address || nl, '') || 'WARC-Date: 2024-01-01T00:00:00Z' || nl
+         || 'Content-Type: text/html' || nl
          || 'Content-Length: ' || strlen(html)::VARCHAR || nl || nl || html || nl || nl AS record
   FROM records)
 SELECT page_id, strlen(record)::BIGINT AS n_bytes, sha256(record) AS record_sha256,

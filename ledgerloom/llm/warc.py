@@ -1,6 +1,7 @@
 """WARC files, and a Merkle audit of their replicas.
 
-Writing: each task writes its pages, in order, as records of gzipped WARC files of RECORDS_PER_FILE records at most.
+Writing: each task writes its pages, in order, as records of gzipped WARC files. A file ends before the record that would
+take it over FILE_BYTES (of html and address), so what an auditing task unpacks is bounded by that or by one longer record.
 Auditing: every record of a replica is hashed with its place (file, position, byte range in the uncompressed file), and
 ranges of FAN neighbours are hashed together, level by level, to one root for each file and one for
 the replica. Roots are compared first, and only branches that differ are followed down to the records.
@@ -16,19 +17,24 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm.common import cut, new_folder, stored
+from ledgerloom.operators.rank import positioned
 
-RECORDS_PER_FILE = 2000
+FILE_BYTES = 32 << 20
+DATE = "2024-01-01T00:00:00Z"  # of records whose pages have no date of their own; the same on every run
 FAN = 16
 END = "\r\n\r\n"
 
 
-def record_text(html: Column) -> Column:
+def record_text(html: Column, date: str = DATE) -> Column:
     """A resource record without its closing line ends; page_id and url are columns of the row."""
     html = F.coalesce(html, F.lit(""))
     address = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
@@ -36,19 +42,39 @@ def record_text(html: Column) -> Column:
         F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"),
         F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">\r\n"),
         F.coalesce(F.concat(F.lit("WARC-Target-URI: "), address, F.lit("\r\n")), F.lit("")),
-        F.lit("Content-Type: text/html\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit(END), html,
+        F.lit(f"WARC-Date: {date}\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit(END), html,
     )
 
 
+def _numbered(file_bytes: int):
+    """Pages with their place in the task and the number of their file."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = file = held = 0
+        for batch in batches:
+            sizes = sum(
+                pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("url", "html")
+            )
+            files = np.empty(len(batch), np.int32)
+            for i, size in enumerate(sizes.tolist()):
+                if held and held + size > file_bytes:
+                    file, held = file + 1, 0
+                held += size
+                files[i] = file
+            places = np.arange(place, place + len(batch))
+            place += len(batch)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places), pa.array(files)], [*batch.schema.names, "place", "chunk"])
+
+    return run
+
+
 def write_replicas(pages: DataFrame, folder: str, htmls: list[Column]) -> None:
     """One replica for each html column, all with the same records in the same files: folder/replica=K."""
     bodies = F.posexplode(F.array(*[record_text(html) for html in htmls])).alias("replica", "value")
-    rows = pages.select("page_id", "url", "html").withColumn("place", F.monotonically_increasing_id())
-    rows = rows.select("place", bodies).sortWithinPartitions("replica", "place").select("replica", "value")
-    (
-        rows.write.partitionBy("replica").option("lineSep", END).option("compression", "gzip")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
-    )
+    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    schema = T.StructType([*rows.schema, T.StructField("place", T.LongType()), T.StructField("chunk", T.IntegerType())])
+    rows = rows.mapInArrow(_numbered(FILE_BYTES), schema).select("place", "chunk", bodies)
+    rows = rows.sortWithinPartitions("replica", "chunk", "place").select("replica", "chunk", "value")
+    rows.write.partitionBy("replica", "chunk").option("lineSep", END).option("compression", "gzip").text(folder)
 
 
 def _records_of(data: bytes) -> Iterator[tuple[int, int, str | None, bytes]]:
@@ -142,8 +168,8 @@ def _descend(levels: list[DataFrame], found: DataFrame) -> DataFrame:
 
 def differing_records(records: DataFrame) -> DataFrame:
     """Records in which replicas 0 and 1 differ: file, place."""
-    files = records.select("file").distinct()
-    files = cut(files.select(F.col("file").alias("name"), F.row_number().over(W.orderBy("file")).cast("long").alias("tree")))
+    names = records.select(F.col("file").alias("name")).distinct()
+    files = cut(positioned(names, ["name"], "tree").withColumn("tree", F.col("tree").cast("long")))
     nodes = records.join(files, F.col("file") == F.col("name")).select("replica", "tree", "place", "digest", "start", "end")
     of_records = merkle_levels(cut(nodes))
     file_roots = of_records[-1].select("replica", F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), "digest", "start", "end")

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import common, packing, token_files
+from ledgerloom.llm.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -118,3 +119,46 @@ def test_plan_places_every_piece_once():
             assert slots["key"][at] >> 44 == length
             places.add((slots["base"][at] + rank, slots["offset"][at]))
         assert len(places) == n
+
+
+def scanned(frame):
+    """Rows that the scan of a plan handed on."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    frame.collect()
+    return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_look_ups_skip_stripes_and_row_groups(spark):
+    """Ids are multiples of 10: a group of rows that cannot hold an id is skipped, by its range or its Bloom filter."""
+    docs = spark.range(0, 300_000, 10).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    folder = common.new_folder(spark, "tokens-test")
+    token_files.write_tokens(docs, folder)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.orc.enableVectorizedReader", "false")
+    try:
+        tokens = token_files.read_tokens(spark, folder).select("doc_id", "n_tokens")
+        assert scanned(tokens) == 30_000
+        here = tokens.where("doc_id = 123450")
+        assert here.count() == 1 and 1 <= scanned(here) <= token_files.INDEX_STRIDE
+        absent = [tokens.where(f"doc_id = {i}") for i in (123_451, 7_773, 250_009)]  # in the range of some file, in none of them
+        # by their ranges alone each would read a row group; a Bloom filter errs once in a hundred
+        assert sum(scanned(a) for a in absent) <= token_files.INDEX_STRIDE
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.orc.enableVectorizedReader")
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def given(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+
+
+def test_token_query_agrees_with_whole_texts(spark, plain):
+    got = QUERIES["op2_token_files"](spark, SF).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == digest_expected(given(spark), plain)
+
+
+def test_packing_query_agrees_with_whole_texts(spark, plain):
+    check_packing(given(spark), QUERIES["op10_packing"](spark, SF).collect(), plain, 1024)

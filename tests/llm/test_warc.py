@@ -18,12 +18,12 @@ def record(page_id, url, html):
     html = html or ""
     lines = ["WARC/1.1", "WARC-Type: resource", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>"]
     lines += [] if url is None else [f"WARC-Target-URI: {url}".replace("\r", "%0D").replace("\n", "%0A")]
-    lines += ["Content-Type: text/html", f"Content-Length: {len(html.encode())}"]
+    lines += ["WARC-Date: 2024-01-01T00:00:00Z", "Content-Type: text/html", f"Content-Length: {len(html.encode())}"]
     return ("\r\n".join(lines) + "\r\n\r\n" + html + "\r\n\r\n").encode()
 
 
 def test_audit_finds_the_damaged_records_and_no_others(spark, monkeypatch):
-    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 20)
+    monkeypatch.setattr(warc, "FILE_BYTES", 400)
     monkeypatch.setattr(warc, "FAN", 4)
     frame = pages(spark).repartition(3)
     got = warc.fixity_audit(frame, F.coalesce(F.col("page_id").isin(3, 44, 101), F.lit(False))).collect()
@@ -34,6 +34,19 @@ def test_audit_finds_the_damaged_records_and_no_others(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=repr) == sorted(want, key=repr)
 
 
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """A page of three megabytes has a file of its own; the others share files of a few hundred kilobytes."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 300_000)
+    rows = [(i, f"http://x/{i}", ("é" * (i % 90)) * 500, 1, "f") for i in range(120)] + [(500, "u", "long " * 600_000, 1, "f")]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    html = F.coalesce("html", F.lit(""))
+    warc.write_replicas(frame, f"file://{tmp_path}/w", [html, html])
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in tmp_path.glob("w/replica=0/**/*.txt.gz")]
+    assert len(sizes) > 10 and sum(s > 400_000 for s in sizes) == 1
+    got = warc.fixity_audit(frame, F.coalesce(F.col("page_id") == 500, F.lit(False))).collect()
+    assert len(got) == 121 and [r.page_id for r in got if not r.intact] == [500]
+
+
 def test_equal_replicas_and_empty_table(spark):
     assert all(r.intact for r in warc.fixity_audit(pages(spark), F.lit(False)).collect())
     assert warc.fixity_audit(pages(spark).limit(0), F.lit(True)).collect() == []
