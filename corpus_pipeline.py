@@ -13,7 +13,7 @@ from ledgerloom.llm.common import stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in some language; null texts and texts without a letter go."""
+    """Texts in one of the languages; null texts, texts without a letter and texts like none of the languages go."""
     return language.identified_documents(docs)
 
 
