@@ -596,6 +596,8 @@ SELECT o_custkey, year(o_orderdate) AS annee, min(o_totalprice) AS taux FROM ord
 GROUP BY 1, 2 HAVING NOT bool_and(o_orderpriority = '1-URGENT')""",
 }
 
+BODIES["landed_star"] = BODIES["activity_star"]
+
 #: The place of each row in published order, over the rows of another twin.
 ORDERS = {
     "donor_summary": "total_usd DESC NULLS LAST, region_bailleur NULLS FIRST, pays_bailleur NULLS FIRST, type_bailleur NULLS FIRST",

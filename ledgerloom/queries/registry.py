@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ledgerloom import fixed_values as fixed, schemas
+from ledgerloom import fixed_values as fixed, landing, schemas
 from ledgerloom.functions import clean, money, rules
 from ledgerloom.operators import aggregates, dims, filters, joins, rank, select, sets
 from ledgerloom.plans import aid, reconcile, releases, second_source, single_country, trade
@@ -83,6 +83,20 @@ def activity_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(published, *[f"{kind}_{c}" for kind in ("montant_verse", "budget_prevu") for c in ("usd", "eur", "kmf")])
 
 
+@query
+def landed_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published dataset from landed tables: written once in buckets of the activity key, then grouped and joined there."""
+    views = standins.aid_tables(spark, sf_dir)
+    base = f"{shared_folder(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    tables = {}
+    for name in ("act", "translation", "country", "sector", "budget", "trans", "location"):
+        view = getattr(views, name)
+        landing.write_in_buckets(view, f"{base}/{name}", "aid", ["ord"], 12)
+        tables[name] = landing.open_in_buckets(spark, f"{base}/{name}", view.schema, "aid", ["ord"], 12)
+    published = aid.dataset(aid.AidTables(**tables))
+    return rounded(published, *[f"{kind}_{c}" for kind in ("montant_verse", "budget_prevu") for c in ("usd", "eur", "kmf")])
+
+
 @query
 def donor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = aid.donor_summary(standins.aid_tables(spark, sf_dir))
