@@ -11,7 +11,8 @@
    they link are contracted. Rounds end when one finds no link, or after ROUNDS of them.
 4. Small buckets (up to SMALL members) that still hold several components are then told in full: all pairs across components.
 5. What is still open in larger buckets is settled exactly, by a prefix filter: sets that agree by PERCENT share one of
-   the rarest shingles of each, so classes of different components meet by these shingles (:func:`_open_pairs`).
+   the rarest shingles of each, so classes of different components meet by these shingles, where parities of their whole
+   sets do not rule a link out (:func:`_open_pairs`).
 
 A pair at the threshold shares no bucket with a probability of about 5 in a million; every pair that shares one is
 linked, through others or by itself. Full sets are sets of 64-bit shingle hashes; equal sets are told by 128 bits of them.
@@ -42,6 +43,7 @@ PART_LINKS = 500_000  # links that one task contracts
 SLICE_BYTES = 512 << 10
 SLOTS = 1 << 20  # counts of shingles, for the order of the prefix filter
 HOT = 1000  # classes that one task compares with the others of a shingle
+MARKS = 8  # words of 64 parities that stand for a set before its texts are read
 
 _U = np.uint64
 _RANDOM = np.random.Generator(np.random.PCG64(5))
@@ -296,6 +298,25 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["slot", "n"])
 
 
+def _marks(keys: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """64 * MARKS parities of each set: whether an odd number of its shingles falls on a place.
+
+    A place on which two sets differ has a shingle that one of them lacks, so they differ in as many shingles at least.
+    """
+    place = (keys >> _U(32)) % _U(64 * MARKS)
+    some, bit = np.flatnonzero(np.diff(at)), _U(1) << place % _U(64)
+    made = []
+    for word in range(MARKS):
+        marks = np.zeros(len(at) - 1, _U)
+        if len(some):
+            marks[some] = np.bitwise_xor.reduceat(np.where(place // _U(64) == word, bit, _U(0)), at[:-1][some])
+        made.append(marks.view(np.int64))
+    return made
+
+
+_MARKS = [f"mark_{word}" for word in range(MARKS)]
+
+
 def _rarest(counts):
     """The shingles of each set that a set agreeing by PERCENT cannot lack all: its first in the order of counts.
 
@@ -315,8 +336,9 @@ def _rarest(counts):
                 take = pa.array(row[first])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("node").take(take), batch.column("root").take(take), pa.array(keys[order][first].view(np.int64)),
-                     pa.array(place[first].astype(np.int32)), pa.array(n[row[first]].astype(np.int32))],
-                    ["node", "root", "shingle", "place", "n"],
+                     pa.array(place[first].astype(np.int32)), pa.array(n[row[first]].astype(np.int32)),
+                     *[pa.array(marks[row[first]]) for marks in _marks(keys, at)]],
+                    ["node", "root", "shingle", "place", "n", *_MARKS],
                 )
 
     return run
@@ -326,7 +348,9 @@ def _open_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataF
     """All pairs across components, among the members' classes, that may agree by PERCENT: u, v.
 
     Two sets that agree have a first common shingle in the order of :func:`_rarest`; it is among the rarest of both, and
-    what follows it in each set must suffice for the rest of what they share. Of a shingle, members of its largest
+    what follows it in each set must suffice for the rest of what they share. Sets whose parities (:func:`_marks`) differ on
+    more places than sets that agree can differ in shingles are no pair: so a large group and the texts around it that it does
+    not link make few pairs, not one for each two of them. Of a shingle, members of its largest
     component meet only the others. A shingle of over HOT classes is dealt by node.
     """
     node = roots.schema["node"].dataType.simpleString()
@@ -336,7 +360,7 @@ def _open_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataF
     summed = sets.select("text").mapInArrow(_slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     table[summed.column("slot").to_numpy()] = summed.column("n").to_numpy()
     counts = sets.sparkSession.sparkContext.broadcast(table)
-    firsts = stored(sets.mapInArrow(_rarest(counts), f"node {node}, root {node}, shingle long, place int, n int"), "rarest")
+    firsts = stored(sets.mapInArrow(_rarest(counts), f"node {node}, root {node}, shingle long, place int, n int, " + ", ".join(f"{m} long" for m in _MARKS)), "rarest")
 
     by_root = firsts.groupBy("shingle", "root").agg(F.count("*").alias("k"))
     several = by_root.groupBy("shingle").agg(F.sum("k").alias("k"), F.min("root").alias("low"), F.max("root").alias("high"), F.max_by("root", "k").alias("main"))
@@ -348,7 +372,9 @@ def _open_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataF
     new = F.expr("x.root <> y.root AND (y.root = y.main OR x.node < y.node)")
     enough = F.expr(f"{100 + PERCENT}L * least(x.n - x.place, y.n - y.place) >= {PERCENT}L * (x.n + y.n)")
     same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") == F.col("y.part"))
-    pairs = x.join(y, same & new & enough)
+    apart = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in _MARKS)
+    near = F.expr(f"{100 + PERCENT}L * (x.n + y.n - ({apart})) >= {2 * PERCENT}L * (x.n + y.n)")
+    pairs = x.join(y, same & new & enough & near)
     return pairs.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
 
 

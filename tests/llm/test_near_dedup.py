@@ -102,6 +102,35 @@ def test_open_pairs_hold_every_agreeing_pair(spark, docs_of, monkeypatch):
     assert all(u > v and u // 4 != v // 4 for u, v in got)
 
 
+def test_texts_around_a_large_group_make_few_pairs(spark, docs_of):
+    """Rare shingles in common, but not 75 percent: the parities tell, before pairs are made."""
+    from pyspark.sql import functions as F
+
+    words = [f"w{i}" for i in range(200)]
+    common, one, other = words[:30], words[30:50], words[50:70]
+    rows = [(i, 0, [*common, *one, f"u{i}"]) for i in range(30)] + [(100 + i, 1, [*common, *other, f"v{i}"]) for i in range(30)]
+    rows += [(200 + i, 2, [*one, f"x{i}"]) for i in range(70)] + [(300 + i, 3, [*other, f"y{i}"]) for i in range(70)]
+    rows += [(400, 4, [*common, *one, "u400"])]
+    node = lambda c: F.struct(F.col(c).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+    frame = spark.createDataFrame([(i, r, " ".join(t)) for i, r, t in rows], "i long, r long, text string")
+    texts, roots = frame.select(node("i").alias("node"), "text"), frame.select(node("i").alias("node"), node("r").alias("root"))
+    got = [(r.u.a, r.v.a) for r in near_dedup._open_pairs(texts.select("node"), roots, texts).collect()]
+    assert sorted(got) == [(400, i) for i in range(30)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 600])
+def test_parities_differ_on_no_more_places_than_sets_in_shingles(n):
+    random = np.random.default_rng(n)
+    both, one, two = (np.unique(random.integers(0, 1 << 63, k, dtype=np.uint64) * np.uint64(2)) for k in (n, 5, 9))
+    sets = [np.sort(np.concatenate([both, one])), both, np.sort(np.concatenate([both, two])), both[:0]]
+    marks = np.stack(near_dedup._marks(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])), 1)
+    apart = lambda a, b: sum(bin(int(x) & (1 << 64) - 1).count("1") for x in marks[a] ^ marks[b])
+    for a in range(4):
+        for b in range(4):
+            assert apart(a, b) <= len(np.setxor1d(sets[a], sets[b])) and (a != b or apart(a, b) == 0)
+    assert (marks[3] == 0).all() and apart(0, 2) > 0
+
+
 def test_odd_rows(docs_of, odd_rows):
     rows = [r[:2] for r in odd_rows]
     want = [(i, n, i if n == 0 else c) for i, n, c in expected(rows)]
