@@ -30,6 +30,8 @@ from ledgerloom.sources import envelopes, sdmx
 
 #: A bucket with so many times the mean makes a table uneven, once it has rows enough to matter.
 UNEVEN, SMALL_BUCKET = 4, 1_000_000
+#: Bytes of raw Parquet files for one bucket: a task that groups and joins a bucket of every table holds their rows unpacked.
+BUCKET_BYTES = 16 << 20
 
 
 # ------------------------------------------------------------------ what has landed
@@ -60,6 +62,12 @@ def write_in_buckets(df: DataFrame, path: str, key: str, order: list[str], bucke
     )
 
 
+def buckets_for_files(spark: SparkSession, paths: list[str], least: int) -> int:
+    """One number of buckets for all tables made from these files; it grows with them, so that a bucket does not."""
+    sizes = [listing(spark, path).agg(F.sum("length")).first()[0] or 0 for path in paths]
+    return max(least, -(-sum(sizes) // BUCKET_BYTES))
+
+
 def open_in_buckets(spark: SparkSession, path: str, schema: T.StructType, key: str, order: list[str], buckets: int) -> DataFrame:
     """The table of :func:`write_in_buckets`, also in a session that has not seen it."""
     name = _catalog_name(path)

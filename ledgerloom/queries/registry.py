@@ -88,11 +88,13 @@ def landed_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published dataset from landed tables: written once in buckets of the activity key, then grouped and joined there."""
     views = standins.aid_tables(spark, sf_dir)
     base = f"{shared_folder(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    sources = [f"{sf_dir}/{name}.parquet" for name in ("orders", "customer", "lineitem", "part", "supplier")]
+    buckets = landing.buckets_for_files(spark, sources, 12)
     tables = {}
     for name in ("act", "translation", "country", "sector", "budget", "trans", "location"):
         view = getattr(views, name)
-        landing.write_in_buckets(view, f"{base}/{name}", "aid", ["ord"], 12)
-        tables[name] = landing.open_in_buckets(spark, f"{base}/{name}", view.schema, "aid", ["ord"], 12)
+        landing.write_in_buckets(view, f"{base}/{name}", "aid", ["ord"], buckets)
+        tables[name] = landing.open_in_buckets(spark, f"{base}/{name}", view.schema, "aid", ["ord"], buckets)
     published = aid.dataset(aid.AidTables(**tables))
     return rounded(published, *[f"{kind}_{c}" for kind in ("montant_verse", "budget_prevu") for c in ("usd", "eur", "kmf")])
 

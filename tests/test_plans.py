@@ -83,3 +83,20 @@ def test_a_table_is_not_scanned_again(spark, name, prefix, scans):
     df.collect()
     final = plan_of(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet [" + prefix) == scans
+
+
+def test_landed_star_has_more_buckets_for_more_input(spark, tmp_path, monkeypatch):
+    from ledgerloom import landing
+    from ledgerloom.queries import standins
+    from ledgerloom.queries.registry import QUERIES
+
+    for name, schema in standins.SCHEMAS.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    made, real = set(), landing.write_in_buckets
+    monkeypatch.setattr(landing, "write_in_buckets", lambda df, path, key, order, n: made.add(n) or real(df, path, key, order, n))
+    assert QUERIES["landed_star"](spark, str(tmp_path)).count() == 0
+    assert made == {12}
+    monkeypatch.setattr(landing, "BUCKET_BYTES", 100)
+    made.clear()
+    assert QUERIES["landed_star"](spark, str(tmp_path)).count() == 0
+    assert len(made) == 1 and made.pop() > 12
