@@ -15,6 +15,16 @@ def identifiers(df: DataFrame, column: str, strip: bool = True) -> DataFrame:
     return df.select(value.alias("identifier")).where("identifier IS NOT NULL").distinct()
 
 
+def dealt(df: DataFrame, column: str, parts: int | None) -> DataFrame:
+    """The rows dealt by a column into a set number of parts, which Spark does not merge to fewer, larger ones.
+
+    For the right side of a semi or anti join, which then has this number of parts or ``spark.sql.shuffle.partitions``;
+    on the left side the join would be made before the dealing. The number must be above that setting: otherwise the join
+    may take exchanges of its own, whose parts are merged.
+    """
+    return df if parts is None else df.repartition(parts, column)
+
+
 def membership(first: DataFrame, second: DataFrame) -> DataFrame:
     """One row per identifier of either source with ``in_first`` and ``in_second``.
 

@@ -17,7 +17,7 @@ from ledgerloom.operators.joins import (
 )
 from ledgerloom.operators.rank import largest
 from ledgerloom.operators.select import run_date
-from ledgerloom.operators.sets import identifiers, membership, only_in
+from ledgerloom.operators.sets import dealt, identifiers, membership, only_in
 from ledgerloom.plans import single_country
 from ledgerloom.plans.aid import AidTables, conditional_spend
 from ledgerloom.plans.second_source import SecondTables, is_spend
@@ -55,20 +55,21 @@ def second_spend(breakdown: DataFrame, key: str, code: str) -> DataFrame:
     )
 
 
-def first_activities(first: AidTables, code: str) -> DataFrame:
-    return restricted(first.act, first_keys(first, code), "aid")
+def first_activities(first: AidTables, code: str, parts: int | None = None) -> DataFrame:
+    return restricted(first.act, dealt(first_keys(first, code), "aid", parts), "aid")
 
 
-def second_activities(second: SecondTables, code: str) -> DataFrame:
-    return restricted(second.activity, second_keys(second, code), "_link", "_link_activity")
+def second_activities(second: SecondTables, code: str, parts: int | None = None) -> DataFrame:
+    keys = dealt(second_keys(second, code), "_link_activity", parts)
+    return restricted(second.activity, keys, "_link", "_link_activity")
 
 
-def first_identifiers(first: AidTables, code: str) -> DataFrame:
-    return identifiers(first_activities(first, code), "aid")
+def first_identifiers(first: AidTables, code: str, parts: int | None = None) -> DataFrame:
+    return identifiers(first_activities(first, code, parts), "aid")
 
 
-def second_identifiers(second: SecondTables, code: str) -> DataFrame:
-    return identifiers(second_activities(second, code), "iatiidentifier")
+def second_identifiers(second: SecondTables, code: str, parts: int | None = None) -> DataFrame:
+    return identifiers(second_activities(second, code, parts), "iatiidentifier")
 
 
 # ------------------------------------------------------------------ totals

@@ -345,14 +345,17 @@ def id_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def id_set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three sets by set operations on distinct identifiers."""
+    """The three sets by set operations on distinct identifiers, in parts that follow the source files."""
     first, second = _both(spark, sf_dir)
-    a = reconcile.first_identifiers(first, fixed.COUNTRY_CODE)
-    b = reconcile.second_identifiers(second, fixed.COUNTRY_CODE)
+    sources = [f"{sf_dir}/{name}.parquet" for name in ("orders", "supplier")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) + landing.buckets_for_files(spark, sources, 1)
+    a = reconcile.first_identifiers(first, fixed.COUNTRY_CODE, parts)
+    b = reconcile.second_identifiers(second, fixed.COUNTRY_CODE, parts)
+    of_a, of_b = (sets.dealt(known, "identifier", parts) for known in (a, b))
     return sets.stacked(
-        sets.only_in(a, b).withColumn("part", F.lit("only_first")),
-        sets.only_in(b, a).withColumn("part", F.lit("only_second")),
-        sets.in_both(a, b).withColumn("part", F.lit("in_both")),
+        sets.only_in(a, of_b).withColumn("part", F.lit("only_first")),
+        sets.only_in(b, of_a).withColumn("part", F.lit("only_second")),
+        sets.in_both(a, of_b).withColumn("part", F.lit("in_both")),
     )
 
 

@@ -119,8 +119,23 @@ def test_set_operators(spark):
     assert sorted(r[0] for r in a.collect()) == ["x", "y"]
     assert [r[0] for r in sets.only_in(a, b).collect()] == ["x"]
     assert [r[0] for r in sets.in_both(a, b).collect()] == ["y"]
-    got = {r["identifier"]: (r["in_first"], r["in_second"]) for r in sets.membership(a, b).collect()}
-    assert got == {"x": (True, False), "y": (True, True), "z": (False, True)}
+
+
+def test_dealt_identifiers_stay_in_their_parts(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as for sets that are too large to broadcast
+    try:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = [[(f"{k}",) for k in range(n, n + 50)] * 2 + [(None,)] for n in (0, 30)]
+        a, b = (sets.identifiers(spark.createDataFrame(r, "id string"), "id") for r in rows)
+        of_a, of_b = (sets.dealt(known, "identifier", least + 3) for known in (a, b))
+        assert sets.only_in(a, b).rdd.getNumPartitions() == 1  # merged
+        for made, expected in ((sets.only_in(a, of_b), range(30)), (sets.only_in(b, of_a), range(50, 80)), (sets.in_both(a, of_b), range(30, 50))):
+            assert made.rdd.getNumPartitions() >= least
+            assert sorted(int(r[0]) for r in made.collect()) == list(expected)
+    finally:
+        spark.conf.set(threshold, before)
 
 
 def test_stacked_fills_missing_columns(spark):
