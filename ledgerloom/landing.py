@@ -172,7 +172,7 @@ def first_source(spark: SparkSession, landed: str, out: str) -> tuple[AidTables,
         spark, f"{raw}/act_translated/lang=fr", f"{base}/translation",
         lambda: envelopes.read_translated_table(spark, f"{raw}/act_translated", schemas.ACT_TRANSLATION, "fr"), "aid", (), buckets,
     )
-    return AidTables(**{n: f.table for n, f in found.items()}), {n: f.rows for n, f in found.items()}
+    return AidTables(**{n: f.table for n, f in found.items()}, in_place=True), {n: f.rows for n, f in found.items()}
 
 
 def second_source(spark: SparkSession, landed: str, out: str) -> tuple[SecondTables, dict[str, int]]:

@@ -39,6 +39,7 @@ def ordered_lists(
     codes: list[str],
     labels: dict[str, tuple[str, DataFrame]] | None = None,
     sums: dict[str, Column] | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """Distinct codes per key in order of first appearance, as ``array<string>``.
 
@@ -47,7 +48,8 @@ def ordered_lists(
 
     Two steps: the first appearance of every code combination is found with a hash
     aggregate, and only those combinations are collected. A list is therefore as long as
-    the published cell, however many rows repeat its codes.
+    the published cell, however many rows repeat its codes. The combinations move to their key as plain rows and are
+    collected there; ``in_place`` is for tables in buckets of the key, which need not move.
     """
     labels, sums = labels or {}, sums or {}
     first = df.groupBy(key, *codes).agg(
@@ -56,7 +58,7 @@ def ordered_lists(
     for out, (code, dim) in labels.items():
         first = lookup(first, dim, F.col(code).cast("string"), out, F.col(code).cast("string"))
     names = list(codes) + list(labels)
-    collected = first.groupBy(key).agg(
+    collected = (first if in_place else first.repartition(key)).groupBy(key).agg(
         F.sort_array(
             F.collect_list(F.struct("_first", *[F.col(n).cast("string").alias(n) for n in names]))
         ).alias("_items"),

@@ -43,6 +43,7 @@ class AidTables:
     trans: DataFrame
     location: DataFrame
     keys: DataFrame | None = None  # of activities with this country alone, where they were written once
+    in_place: bool = False  # the tables lie in buckets of the activity key
 
 
 # ------------------------------------------------------------------ activities
@@ -99,7 +100,7 @@ def activities(tables: AidTables, code: str = fixed.COUNTRY_CODE) -> DataFrame:
 
 # ------------------------------------------------------------------ children, one row per activity
 
-def sectors_per_activity(sector: DataFrame) -> DataFrame:
+def sectors_per_activity(sector: DataFrame, in_place: bool = False) -> DataFrame:
     spark = sector.sparkSession
     lists = ordered_lists(
         sector, "aid", "ord", ["sector_code", "sector_group"],
@@ -107,11 +108,12 @@ def sectors_per_activity(sector: DataFrame) -> DataFrame:
             "secteur_detail": ("sector_code", code_dim(spark, fixed.SECTORS)),
             "secteur_principal": ("sector_group", code_dim(spark, fixed.SECTOR_GROUPS)),
         },
+        in_place=in_place,
     )
     return _as_text(lists)
 
 
-def budgets_per_activity(budget: DataFrame) -> DataFrame:
+def budgets_per_activity(budget: DataFrame, in_place: bool = False) -> DataFrame:
     """Planned amounts; they are not weighted by the country share.
 
     ``budget_value`` adds up original currencies as they are, which only makes sense
@@ -126,11 +128,12 @@ def budgets_per_activity(budget: DataFrame) -> DataFrame:
             "budget_eur": eur,
             "budget_kmf": money.aid_kmf(eur),
         },
+        in_place=in_place,
     )
     return _as_text(lists)
 
 
-def transactions_per_activity(trans: DataFrame) -> DataFrame:
+def transactions_per_activity(trans: DataFrame, in_place: bool = False) -> DataFrame:
     """Unweighted sums by kind, count, and flow and finance codes, from one scan."""
     spark = trans.sparkSession
     usd, eur = clean.number_or(trans, "trans_usd", 0), clean.number_or(trans, "trans_eur", 0)
@@ -148,6 +151,7 @@ def transactions_per_activity(trans: DataFrame) -> DataFrame:
             "commitment_usd": F.when(kind.isin(fixed.COMMITMENT_CODES), usd).otherwise(0.0),
             "n_transactions": F.lit(1),
         },
+        in_place=in_place,
     )
     texts = _as_text(lists).withColumn("_tokens", rules.code_tokens(F.col("trans_finance_code")))
     return texts.withColumn(
@@ -169,7 +173,7 @@ def places(location: DataFrame) -> DataFrame:
     return numbered(location, "aid", "ord", PLACE)
 
 
-def locations_per_activity(location: DataFrame) -> DataFrame:
+def locations_per_activity(location: DataFrame, in_place: bool = False) -> DataFrame:
     """The published cells: names, latitudes and longitudes, each in order of first appearance.
 
     An activity with at most :data:`PIECE` location rows fits one array, and nearly all do. Where there are others, their
@@ -177,9 +181,9 @@ def locations_per_activity(location: DataFrame) -> DataFrame:
     """
     large = location.groupBy("aid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PIECE).select("aid")
     if large.isEmpty():
-        return _as_text(ordered_lists(location, "aid", "ord", PLACE))
+        return _as_text(ordered_lists(location, "aid", "ord", PLACE, in_place=in_place))
     large = cut(large)
-    small = _as_text(ordered_lists(excluded(location, large, "aid"), "aid", "ord", PLACE))
+    small = _as_text(ordered_lists(excluded(location, large, "aid"), "aid", "ord", PLACE, in_place=in_place))
     return small.unionByName(cells(places(restricted(location, large, "aid")), "aid", PLACE))
 
 
@@ -204,12 +208,13 @@ def wide_dataset(
     def child(df: DataFrame) -> DataFrame:
         return restricted(df, shares(tables.country, code), "aid") if prefilter else df
 
+    in_place = getattr(tables, "in_place", False)
     joined = star(
         base, "aid",
-        sectors_per_activity(child(tables.sector)),
-        budgets_per_activity(child(tables.budget)),
-        transactions_per_activity(child(tables.trans)),
-        locations_per_activity(child(tables.location)),
+        sectors_per_activity(child(tables.sector), in_place),
+        budgets_per_activity(child(tables.budget), in_place),
+        transactions_per_activity(child(tables.trans), in_place),
+        locations_per_activity(child(tables.location), in_place),
     )
     joined = weighted(joined, ["spend_usd", "spend_eur", "expenditure_usd", "commitment_usd"])
     joined = joined.withColumn("spend_kmf", money.aid_kmf(F.col("spend_eur")))

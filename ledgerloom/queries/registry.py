@@ -95,7 +95,7 @@ def landed_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         view = getattr(views, name)
         landing.write_in_buckets(view, f"{base}/{name}", "aid", ["ord"], buckets)
         tables[name] = landing.open_in_buckets(spark, f"{base}/{name}", view.schema, "aid", ["ord"], buckets)
-    published = aid.dataset(aid.AidTables(**tables))
+    published = aid.dataset(aid.AidTables(**tables, in_place=True))
     return rounded(published, *[f"{kind}_{c}" for kind in ("montant_verse", "budget_prevu") for c in ("usd", "eur", "kmf")])
 
 

@@ -221,3 +221,15 @@ def test_a_page_reads_its_range_only(spark, tmp_path):
     ranges = [pq.ParquetFile(p).metadata.row_group(0).column(0).statistics for p in (tmp_path / "pages").glob("*.parquet")]
     assert len(ranges) > 1 and sum(r.min <= 5800 and r.max > 5700 for r in ranges) == 1
     assert pages.firsts().count() == 200 and pages.page(200).count() == 0
+
+
+def test_lists_are_collected_where_their_key_is(spark):
+    rows = spark.createDataFrame([("x", 1, "a"), ("x", 2, "b"), ("y", 3, "a"), (None, 4, None)], "k string, ord long, c string")
+    made = aggregates.ordered_lists(rows, "k", "ord", ["c"])
+    lines = [line.strip(" :+-*0123456789()") for line in made._jdf.queryExecution().executedPlan().toString().splitlines()]
+    below = [b for a, b in zip(lines, lines[1:]) if a.startswith("Exchange hashpartitioning(k")]
+    assert len(below) == 2
+    assert not any(b.startswith("ObjectHashAggregate") for b in below)  # no list moves
+    assert {r["k"]: r["c"] for r in made.collect()} == {"x": ["a", "b"], "y": ["a"], None: []}
+    settled = aggregates.ordered_lists(rows, "k", "ord", ["c"], in_place=True)
+    assert sorted(map(str, settled.collect())) == sorted(map(str, made.collect()))
