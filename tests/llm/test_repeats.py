@@ -148,3 +148,28 @@ def test_hashes_that_collide_do_not_decide(docs_of):
     before = text(random, 300)
     rows = [(1, "1" + before + gram + one + tail + "2"), (2, "3" + before + gram + two + tail + "4"), (3, "5" + before + gram + one[:60] + "6")]
     assert report(docs_of(rows)) == expected(rows)
+
+
+def test_segments_of_an_anchor_meet_whatever_joins_spark_picks(docs_of, spark, monkeypatch):
+    """Joins planned as sorted ones and turned into broadcasts while they run, over several parts, as on large tables."""
+    as_large = {
+        "spark.sql.adaptive.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "5", "spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "16k",
+    }
+    before = {key: spark.conf.get(key, None) for key in as_large}
+    monkeypatch.setattr(repeats, "GROUP", 5)  # one passage is very common, the others come twice
+    random = np.random.default_rng(14)
+    common = text(random, 500)
+    rows = [(100 + i, text(random, 300) + common + text(random, 300)) for i in range(12)]
+    for i in range(40):
+        shared = text(random, 430)
+        rows += [(j * 40 + i, text(random, 300) + shared + text(random, 300)) for j in range(2)]
+    try:
+        for key, value in as_large.items():
+            spark.conf.set(key, value)
+        found = report(docs_of(rows))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert found == expected(rows) and all(r[2] >= 430 for r in found)
